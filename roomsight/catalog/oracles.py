@@ -11,8 +11,8 @@ LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RAW = f"r AS ({READINGS_SQL.format(events='events')})"
 
 
-def r6(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0.0 AS {name}"
+def r6(expr: str, name: str, digits: int = 6) -> str:
+    return f"round({expr}, {digits}) + 0.0 AS {name}"
 
 
 def quoted(values) -> str:
@@ -62,7 +62,7 @@ cleaned AS (SELECT DISTINCT * FROM c6)"""
 GROUP_MODE = """(SELECT time_of_day, ambient_light AS m FROM (
     SELECT time_of_day, ambient_light, row_number() OVER (PARTITION BY time_of_day
       ORDER BY count(*) DESC, ambient_light) AS rn
-    FROM {src} WHERE ambient_light IS NOT NULL GROUP BY ALL) WHERE rn = 1)"""
+    FROM {src} WHERE ambient_light IS NOT NULL GROUP BY time_of_day, ambient_light) WHERE rn = 1)"""
 
 DEFERRED = f"""{LABELLED},
 d3 AS (SELECT * REPLACE ({FIX_TEMPERATURE.format(src='lab')}) FROM lab),
@@ -148,7 +148,7 @@ ORACLES["bound_violations"] = f"WITH {RAW} " + " UNION ALL ".join(
     for c, (lo, hi) in BOUNDS.items())
 SCHEMA = [("reading_id", "bigint"), ("session_id", "bigint"), ("ts", "timestamp_ntz"),
           ("time_of_day", "string"), *[(c, "double") for c in K.NUMERIC],
-          ("ambient_light", "varchar(20)"), ("hvac_mode", "string"), ("activity_level", "string")]
+          ("ambient_light", "string"), ("hvac_mode", "string"), ("activity_level", "string")]
 ORACLES["schema_profile"] = f"WITH {RAW} SELECT (SELECT count(*) FROM r) AS rows, * FROM (VALUES " \
     + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(SCHEMA)) \
     + ') v(position, "column", "type")'
@@ -306,12 +306,12 @@ def long_form(table: str, names, by: str = "") -> str:
 def histogram(table: str, names, bins: int) -> str:
     return f"""l AS ({long_form(table, names)}),
   span AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM l GROUP BY 1),
-  hit AS (SELECT "column", least(floor((v - lo) / (hi - lo) * {bins}) + 1, {bins})::BIGINT AS bin,
-    count(*) AS n FROM l JOIN span USING ("column") GROUP BY ALL),
-  every AS (SELECT "column", lo, hi, b AS bin FROM span, range(1, {bins + 1}) t(b))
-  SELECT "column", bin, {r6(f'lo + (bin - 1) * ((hi - lo) / {bins})', 'left_edge')},
-    {r6(f'lo + bin * ((hi - lo) / {bins})', 'right_edge')}, coalesce(n, 0) AS n
-  FROM every LEFT JOIN hit USING ("column", bin)"""
+  every AS (SELECT "column", b AS bin, hi, lo + (b - 1) * ((hi - lo) / {bins}) AS left_edge,
+    lo + b * ((hi - lo) / {bins}) AS right_edge FROM span, range(1, {bins + 1}) t(b)),
+  hit AS (SELECT e."column", bin, count(*) AS n FROM every e JOIN l ON e."column" = l."column"
+    AND v >= left_edge AND (v < right_edge OR bin = {bins}) GROUP BY ALL)
+  SELECT "column", bin, {r6('left_edge', 'left_edge')}, {r6('right_edge', 'right_edge')},
+    coalesce(n, 0) AS n FROM every LEFT JOIN hit USING ("column", bin)"""
 
 
 ORACLES["histogram"] = f"WITH {RAW}, {histogram('r', K.NUMERIC, 50)}"
@@ -384,8 +384,8 @@ ORACLES["rolling_mean"] = f"""WITH {UNIQUE} SELECT reading_id,
 ORACLES["rolling_sum"] = f"""WITH {BURDEN} SELECT reading_id,
   {r6(roll('sum', 'burden', 10), 'burden_sum')} FROM u"""
 ORACLES["session_centred"] = f"""WITH {UNIQUE} SELECT reading_id,
-  {r6(centred('temperature'), 'temperature_centred')}, {r6(centred('co2_infrared'), 'co2_centred')}
-  FROM u"""
+  {r6(centred('temperature'), 'temperature_centred', 9)},
+  {r6(centred('co2_infrared'), 'co2_centred', 9)} FROM u"""
 ORACLES["spike_flag"] = f"WITH {UNIQUE} SELECT reading_id, {SPIKE} AS spike FROM u"
 
 # --- row functions and encodings ----------------------------------------------------------------
@@ -540,3 +540,11 @@ ORACLES["classification_report"] = f"""WITH {SCORED}
 ORACLES["macro_f1"] = f"WITH {SCORED} SELECT {r6('avg(f)', 'macro_f1')} FROM sc"
 ORACLES["confusion"] = f"""WITH {RULED} SELECT target::DOUBLE AS label, guess::DOUBLE AS prediction,
   count(*) AS n FROM g GROUP BY ALL"""
+
+# --- sources and sinks, training rows ------------------------------------------------------------------------
+
+ORACLES["csv_roundtrip"] = ORACLES["clean_eager"]
+ORACLES["parquet_roundtrip"] = f"WITH {RAW} SELECT {columns(ALL_BUT_TS)} FROM r"
+ORACLES["training_rows"] = f"""WITH {UNIQUE_ENC}, {ranked('ue', 'reading_id', 'target')},
+  {test_sizes('target')} SELECT rk <= n_test AS is_test, target::DOUBLE AS label, count(*) AS n
+  FROM ranked JOIN sizes USING (target) GROUP BY ALL"""

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
 from .. import constants as K
 from ..functions import scalar as S
-from ..operators import balance, density, encode, evaluate, neighbours, quality, repair
+from ..operators import balance, density, encode, evaluate, models, neighbours, quality, repair
 from ..operators import scale, split, statistics as T, windows as W
 from ..operators.quantiles import quantiles
-from ..plans import clean, features
+from ..plans import clean, features, training
 from ..plans.readings import readings
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
+from ..sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,10 +32,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                            for f in df.schema if isinstance(f.dataType, DoubleType)})
 
 
-def query(build: Callable[[SparkSession, str], DataFrame]):
+def query(build: Callable[[SparkSession, str], DataFrame], digits: int = 6):
     """Register a query under its function name."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(build(spark, folder))
+        return rounded(build(spark, folder), digits)
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
     return build
@@ -450,7 +453,7 @@ def rolling_sum(spark, folder):
         "burden_sum": W.rolling_sum("burden", K.BASELINE_ROWS, w)})
 
 
-@query
+@partial(query, digits=9)  # session means have ties at 6 digits
 def session_centred(spark, folder):
     return _windowed(spark, folder, centred={
         "temperature_centred": "temperature", "co2_centred": "co2_infrared"})
@@ -634,3 +637,99 @@ def macro_f1(spark, folder):
 @query
 def confusion(spark, folder):
     return evaluate.confusion(_ruled(spark, folder), "target", "guess")
+
+
+# --- sources and sinks ------------------------------------------------------------------------------------
+
+@query
+def csv_roundtrip(spark, folder):
+    """Cleaned readings written as CSV and read back."""
+    cleaned = clean.clean(readings(spark, folder)).drop("ts")
+    path = scratch_path(spark, "cleaned-csv")
+    files.write_csv(cleaned, path)
+    return files.read_csv(spark, path, cleaned.schema)
+
+
+@query
+def parquet_roundtrip(spark, folder):
+    """Readings bound by their source names, written as Parquet, and read back."""
+    original = {ours: theirs for theirs, ours in K.SOURCE_COLUMNS.items()}
+    source = readings(spark, folder).drop("ts").withColumnsRenamed(original)
+    path = scratch_path(spark, "readings")
+    files.write_parquet(files.bind_columns(source), path)
+    return files.read_parquet(spark, path)
+
+
+# --- models ---------------------------------------------------------------------------------------------------
+
+# Small ensembles: the registered runs check the whole path, not the best score.
+SMALL = {"Logistic Regression": {"max_iter": 50},
+         "Random Forest": {"n_estimators": 20, "max_depth": 8},
+         "Boosted Trees": {"n_estimators": 5, "max_depth": 3}}
+
+
+def _training(spark, folder) -> training.TrainingData:
+    return training.training_data(features.features_full(readings(spark, folder)))
+
+
+def _logistic(data: training.TrainingData):
+    return models.logistic(data.train.count(), max_iter=50).fit(data.train)
+
+
+@query
+def baseline_models(spark, folder):
+    data = _training(spark, folder)
+    return models.compare_models(data.train, data.test, models.CANDIDATES, SMALL)
+
+
+@query
+def tuned_models(spark, folder):
+    """Balanced search over two draws and two folds per model, models and parameters saved."""
+    return training.tuned_run(_training(spark, folder), "reading_id",
+                              scratch_path(spark, "models"), draws=2, folds=2, fixed=SMALL)
+
+
+@query
+def score_rows(spark, folder):
+    data = _training(spark, folder)
+    return models.score_rows(_logistic(data), data.test).select(
+        "reading_id", "label", "prediction")
+
+
+@query
+def feature_importance(spark, folder):
+    data = _training(spark, folder)
+    forest = models.random_forest(0, n_estimators=20, max_depth=8).fit(data.train)
+    return models.feature_importance(forest, data.names)
+
+
+@query
+def model_roundtrip(spark, folder):
+    """A model saved, loaded and used: rows per label and prediction."""
+    data = _training(spark, folder)
+    path = files.save_model(_logistic(data), scratch_path(spark, "models"), "Logistic Regression")
+    loaded = LogisticRegressionModel.load(path)
+    return evaluate.confusion(models.score_rows(loaded, data.test), "label", "prediction")
+
+
+@query
+def best_params(spark, folder):
+    """Chosen parameters saved as JSON and read back."""
+    data = _training(spark, folder)
+    prepared = models.search_data(data.train, "reading_id", 2, "none")
+    _, params, _ = models.random_search(prepared, models.CANDIDATES[0], 2,
+                                        fixed={"max_iter": 20})
+    where = scratch_path(spark, "params")
+    files.save_params(spark, params, where, "Logistic Regression")
+    found = files.load_params(spark, where, "Logistic Regression")
+    return spark.createDataFrame([(k, str(v)) for k, v in sorted(found.items())],
+                                 "parameter string, value string")
+
+
+@query
+def training_rows(spark, folder):
+    """Rows per part and label after split and scaling."""
+    data = _training(spark, folder)
+    both = data.train.withColumn("is_test", F.lit(False)).unionByName(
+        data.test.withColumn("is_test", F.lit(True)))
+    return both.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n"))

@@ -25,13 +25,17 @@ def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
     # One row per column: the number of columns bounds both broadcasts.
     span = span.select("column", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    place = F.least(F.width_bucket("value", "lo", "hi", F.lit(bins)), F.lit(bins).cast("bigint"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    # The edges decide, as rounding may put a value on an edge one bin off.
+    guess = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
+    below = F.col("value") < F.col("lo") + guess * width
+    above = (guess < bins - 1) & (F.col("value") >= F.col("lo") + (guess + 1) * width)
+    place = guess + F.when(below, 0).when(above, 2).otherwise(1)
     counts = (long.join(F.broadcast(span), "column").groupBy("column", place.alias("bin"))
               .agg(F.count(F.lit(1)).alias("n")))
     every = span.select("column", "lo", "hi",
                         F.explode(F.sequence(F.lit(1).cast("bigint"),
                                              F.lit(bins).cast("bigint"))).alias("bin"))
-    width = (F.col("hi") - F.col("lo")) / bins
     return (every.join(counts, ["column", "bin"], "left")
             .select("column", "bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("left_edge"),
                     (F.col("lo") + F.col("bin") * width).alias("right_edge"),

@@ -121,20 +121,31 @@ def crosstab_pct(df: DataFrame, by: str, across: str, values: list[str]) -> Data
           for v in values])
 
 
-def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson r for every ordered pair (feature_a, feature_b, r), pairwise complete.
+def _pair_corr(df: DataFrame, columns: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """Pearson r per pair of column positions (i, j, r).
 
-    One pass with partial aggregation; the matrix is mirrored afterwards.
+    Each row is turned into its pairs inside generated code and added to one running sum
+    per pair, so a task shuffles one row per pair. One aggregate over many rows compiles
+    far better than an aggregate expression per pair.
     """
-    pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                      pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
-             for a, b in pairs]
-    half = df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    every = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
+    rows = (df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+            .select("v", F.explode(every).alias("p"))
+            .select("p.i", "p.j", F.col("v")[F.col("p.i")].alias("x"),
+                    F.col("v")[F.col("p.j")].alias("y")))
+    return rows.groupBy("i", "j").agg(pearson(F.col("x"), F.col("y")).alias("r"))
+
+
+def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson r for every ordered pair (feature_a, feature_b, r), pairwise complete."""
+    places = range(len(columns))
+    half = _pair_corr(df, columns, [*combinations(places, 2), *[(i, i) for i in places]])
+    names = F.array(*[F.lit(c) for c in columns])
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
     mirrored = half.select(F.explode(both).alias("p"), "r")
-    return mirrored.select(F.col("p.a").alias("feature_a"), F.col("p.b").alias("feature_b"), "r")
+    return mirrored.select(names[F.col("p.i")].alias("feature_a"),
+                           names[F.col("p.j")].alias("feature_b"), "r")
 
 
 def corr_lower(matrix: DataFrame, columns: list[str]) -> DataFrame:
@@ -145,10 +156,10 @@ def corr_lower(matrix: DataFrame, columns: list[str]) -> DataFrame:
 
 def target_corr(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """Absolute correlation of each column with the target, strongest first."""
-    cells = [F.struct(F.lit(c).alias("feature"),
-                      F.abs(pearson(F.col(c).cast("double"), F.col(target).cast("double")))
-                      .alias("abs_r")) for c in columns]
-    return (df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+    last = len(columns)
+    found = _pair_corr(df, [*columns, target], [(i, last) for i in range(last)])
+    names = F.array(*[F.lit(c) for c in columns])
+    return (found.select(names[F.col("i")].alias("feature"), F.abs("r").alias("abs_r"))
             .orderBy(F.desc_nulls_last("abs_r"), "feature"))
 
 
