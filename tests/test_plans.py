@@ -1,0 +1,64 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from roomsight import constants as K
+from roomsight.operators import repair, windows as W
+from roomsight.plans import features
+from roomsight.plans.readings import readings
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flagship_has_one_exchange_and_one_sort_by_session(raw):
+    text = plan(features.features_full(raw))
+    assert len(re.findall(r"Exchange hashpartitioning\(session_id", text)) == 1
+    assert len(re.findall(r"(?<!Broadcast)Exchange (hash|range|Single)", text)) == 1
+    assert text.count("Sort [") == 1 and "Python" not in text
+
+
+@pytest.mark.parametrize("name", [
+    "missing_profile", "describe", "corr_matrix", "histogram", "kde_grid", "box_stats",
+    "clean_eager", "sanitise", "stratified_split", "step_diff", "rolling_std", "one_hot"])
+def test_no_python_in_the_row_path(spark, folder, name):
+    text = plan(entry.queries()[name](spark, folder))
+    assert not re.search(r"Python|MapInPandas|ArrowEval|CartesianProduct", text), text
+
+
+@pytest.mark.parametrize("name", ["stratified_split", "stratified_folds"])
+def test_splits_do_not_move_rows(spark, folder, name):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    from roomsight.operators import split
+    make = getattr(split, name)
+    assert "Exchange" not in plan(make(labels, "doc_id", "toxic"))
+
+
+def test_constants_need_no_exchange(raw):
+    fitted = repair.fit_missing_to_median(raw, K.MEDIAN_FILLED)
+    assert "Exchange" not in plan(fitted.transform(raw))
+
+
+def test_filters_and_columns_reach_the_scan(spark, folder):
+    text = plan(entry.queries()["filter_project_lineitem"](spark, folder))
+    assert "GreaterThanOrEqual(l_quantity,45.0)" in text
+    assert "l_shipdate" not in text
+
+
+def test_no_window_over_all_rows(spark, folder, raw):
+    """A window after a single-partition exchange may only see aggregated rows."""
+    rows = raw.where(F.col("session_id").isNotNull())
+    text = plan(W.session_features(rows, K.SESSION, K.ROW_ORDER, lambda w: {
+        "d": W.step_diff("temperature", w)}, 1))
+    assert "SinglePartition" not in text
+
+
+def test_long_session_search_reads_two_columns(spark, folder):
+    sizes = readings(spark, folder).groupBy(K.SESSION).count()
+    assert re.search(r"ReadSchema: struct<event_id:bigint,user_id:bigint>|"
+                     r"ReadSchema: struct<user_id:bigint>", plan(sizes))
