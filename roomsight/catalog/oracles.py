@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .. import constants as K
 from ..plans.readings import READINGS_SQL
+from .queries import TIE_SHIFT
 
 ORACLES: dict[str, str] = {}
 
@@ -11,8 +12,9 @@ LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RAW = f"r AS ({READINGS_SQL.format(events='events')})"
 
 
-def r6(expr: str, name: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0 AS {name}"
+def r6(expr: str, name: str) -> str:
+    """Six digits; the tiny shift keeps exact halves from going either way."""
+    return f"round({expr} + {TIE_SHIFT}, 6) + 0.0 AS {name}"
 
 
 def quoted(values) -> str:
@@ -135,8 +137,8 @@ def counts(table: str, c: str) -> str:
 ORACLES["value_counts"] = f"WITH {RAW} {counts('r', 'ambient_light')}"
 ORACLES["value_counts_orders"] = counts("orders", "o_orderpriority")
 ORACLES["value_counts_documents"] = counts("documents", "source")
-SHARE = "SELECT {c}, count(*) AS n, round(count(*) / (SELECT count(*) FROM {t}) * 100.0, 6) + 0.0" \
-        " AS pct FROM {t} WHERE {c} IS NOT NULL GROUP BY 1"
+SHARE = "SELECT {c}, count(*) AS n, " + r6("count(*) / (SELECT count(*) FROM {t}) * 100.0", "pct") \
+    + " FROM {t} WHERE {c} IS NOT NULL GROUP BY 1"
 ORACLES["class_distribution"] = f"WITH {LABELLED} {SHARE.format(c='activity_level', t='lab')}"
 ORACLES["class_distribution_labels"] = SHARE.format(c="toxic", t="labels")
 BOUNDS = {"temperature": (10, 40), "humidity": (0, 100), "co2_infrared": (0, None),
@@ -384,8 +386,8 @@ ORACLES["rolling_mean"] = f"""WITH {UNIQUE} SELECT reading_id,
 ORACLES["rolling_sum"] = f"""WITH {BURDEN} SELECT reading_id,
   {r6(roll('sum', 'burden', 10), 'burden_sum')} FROM u"""
 ORACLES["session_centred"] = f"""WITH {UNIQUE} SELECT reading_id,
-  {r6(centred('temperature'), 'temperature_centred', 9)},
-  {r6(centred('co2_infrared'), 'co2_centred', 9)} FROM u"""
+  {r6(centred('temperature'), 'temperature_centred')},
+  {r6(centred('co2_infrared'), 'co2_centred')} FROM u"""
 ORACLES["spike_flag"] = f"WITH {UNIQUE} SELECT reading_id, {SPIKE} AS spike FROM u"
 
 # --- row functions and encodings ----------------------------------------------------------------
@@ -471,8 +473,9 @@ CELLS = ", ".join(f"floor(log2(count(*) FILTER (target = {k}) + 1))::INT AS c{k}
 ORACLES["group_folds"] = f"""WITH {LABELLED}, g AS (SELECT session_id, {CELLS} FROM enc GROUP BY 1)
   SELECT session_id, ((row_number() OVER (ORDER BY c2 DESC, c1 DESC, c0 DESC,
     {hashed('session_id')}, session_id) - 1) % 5)::INT AS fold FROM g"""
-WEIGHTS = """SELECT {c}, count(*) AS n, round((SELECT count(*) FROM {t}) /
-  ((SELECT count(DISTINCT {c}) FROM {t}) * count(*)), 6) + 0.0 AS weight FROM {t} GROUP BY 1"""
+WEIGHTS = "SELECT {c}, count(*) AS n, " + r6(
+    "(SELECT count(*) FROM {t}) / ((SELECT count(DISTINCT {c}) FROM {t}) * count(*))", "weight") \
+    + " FROM {t} GROUP BY 1"
 ORACLES["class_weights"] = f"WITH {LABELLED} {WEIGHTS.format(c='target', t='enc')}"
 ORACLES["class_weights_labels"] = WEIGHTS.format(c="toxic", t="labels")
 ORACLES["standardise"] = f"""WITH {UNIQUE_ENC}, {ranked('ue', 'reading_id', 'target')},
@@ -529,14 +532,14 @@ SCORED = f"""{RULED},
 ORACLES["classification_report"] = f"""WITH {SCORED}
   SELECT c::VARCHAR AS entry, {r6('p', 'precision')}, {r6('r', 'recall')}, {r6('f', 'f1')},
     support FROM sc
-  UNION ALL SELECT 'accuracy', round(sum(tp) / sum(support), 6) + 0.0,
-    round(sum(tp) / sum(support), 6) + 0.0, round(sum(tp) / sum(support), 6) + 0.0,
+  UNION ALL SELECT 'accuracy', {r6('sum(tp) / sum(support)', 'x')},
+    {r6('sum(tp) / sum(support)', 'x')}, {r6('sum(tp) / sum(support)', 'x')},
     sum(support)::BIGINT FROM sc
-  UNION ALL SELECT 'macro avg', round(avg(p), 6) + 0.0, round(avg(r), 6) + 0.0,
-    round(avg(f), 6) + 0.0, sum(support)::BIGINT FROM sc
-  UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6) + 0.0,
-    round(sum(r * support) / sum(support), 6) + 0.0,
-    round(sum(f * support) / sum(support), 6) + 0.0, sum(support)::BIGINT FROM sc"""
+  UNION ALL SELECT 'macro avg', {r6('avg(p)', 'x')}, {r6('avg(r)', 'x')},
+    {r6('avg(f)', 'x')}, sum(support)::BIGINT FROM sc
+  UNION ALL SELECT 'weighted avg', {r6('sum(p * support) / sum(support)', 'x')},
+    {r6('sum(r * support) / sum(support)', 'x')},
+    {r6('sum(f * support) / sum(support)', 'x')}, sum(support)::BIGINT FROM sc"""
 ORACLES["macro_f1"] = f"WITH {SCORED} SELECT {r6('avg(f)', 'macro_f1')} FROM sc"
 ORACLES["confusion"] = f"""WITH {RULED} SELECT target::DOUBLE AS label, guess::DOUBLE AS prediction,
   count(*) AS n FROM g GROUP BY ALL"""

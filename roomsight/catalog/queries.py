@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,21 +20,25 @@ from ..sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+TIE_SHIFT = 1.23456e-9
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 BOUNDS = {"temperature": K.TEMPERATURE_BOUNDS, "humidity": K.HUMIDITY_BOUNDS,
           "co2_infrared": K.CO2_BOUNDS, "co_gas": K.CO2_BOUNDS}
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles for display, so that sums in another order compare equal."""
-    return df.withColumns({f.name: F.round(f"`{f.name}`", digits) + F.lit(0.0)
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six digits, so that sums in another order compare equal.
+
+    The tiny shift keeps exact halves from going either way.
+    """
+    return df.withColumns({f.name: F.round(F.col(f"`{f.name}`") + TIE_SHIFT, 6) + F.lit(0.0)
                            for f in df.schema if isinstance(f.dataType, DoubleType)})
 
 
-def query(build: Callable[[SparkSession, str], DataFrame], digits: int = 6):
+def query(build: Callable[[SparkSession, str], DataFrame]):
     """Register a query under its function name."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(build(spark, folder), digits)
+        return rounded(build(spark, folder))
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
     return build
@@ -453,7 +456,7 @@ def rolling_sum(spark, folder):
         "burden_sum": W.rolling_sum("burden", K.BASELINE_ROWS, w)})
 
 
-@partial(query, digits=9)  # session means have ties at 6 digits
+@query
 def session_centred(spark, folder):
     return _windowed(spark, folder, centred={
         "temperature_centred": "temperature", "co2_centred": "co2_infrared"})
