@@ -1,18 +1,18 @@
 """Exact quantiles without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one task's memory. Here a mergeable
-sketch first counts each group and brackets each wanted quantile. Only if every group turns
-out small does ``percentile`` finish the work. Otherwise a second pass counts the rows below
-the bracket and the rows per distinct value inside it, so that only bracket values are
-sorted: about ``6 / ACCURACY`` of the distinct values of a large group, and all values of a
-group that has at most ``ACCURACY`` rows.
+``percentile`` keeps every distinct value of a group in one task's memory. Here the groups are
+counted first. If all are small, their distinct values are counted and ranked. Otherwise a
+mergeable sketch brackets each wanted quantile, and a second pass counts the rows below the
+bracket and the rows per distinct value inside it. Then only bracket values are ranked: about
+``6 / ACCURACY`` of the distinct values of a large group, and all values of a group that has
+at most ``ACCURACY`` rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .fitted import BROADCAST_ROWS, local_table, match
+from .fitted import BROADCAST_ROWS, match
 
 ACCURACY = 10_000
 SMALL_GROUP = 1_000_000
@@ -45,8 +45,8 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     """Exact quantiles with linear interpolation: (by..., column, n, q, value).
 
     ``columns`` may map names to expressions. Missing values do not count; a group whose
-    key is missing is a group here. Brackets of up to 10,000 groups, columns and
-    probabilities are checked on the driver and broadcast; more take an ordinary join.
+    key is missing is a group here. Up to 10,000 brackets are broadcast, which the count
+    of the groups has shown before; more take an ordinary join.
     """
     by = by or []
     if not isinstance(columns, dict):
@@ -54,21 +54,37 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     probs = [float(p) for p in probs]
     long = _long(df, columns, by)
     keys = [*by, "column"]
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).take(BROADCAST_ROWS + 1)
+    few = len(sizes) <= BROADCAST_ROWS
+    if few and all(r["n"] <= small_group for r in sizes):
+        return _ranked_values(long, probs, keys)
     brackets = _brackets(long, probs, keys)
-    head = brackets.take(BROADCAST_ROWS + 1)
-    if len(head) <= BROADCAST_ROWS:
-        if all(r["n"] <= small_group for r in head):
-            return _small_quantiles(long, probs, keys)
-        brackets = F.broadcast(local_table(brackets, head))
+    if few and len(sizes) * len(probs) <= BROADCAST_ROWS:
+        brackets = F.broadcast(brackets)
     return _selected(match(long, brackets, keys), keys)
 
 
-def _small_quantiles(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    found = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile("value", probs).alias("v"))
-    pairs = [F.struct(F.lit(p).alias("q"), F.col("v")[i].alias("value"))
-             for i, p in enumerate(probs)]
-    return found.select(*keys, "n", F.inline(F.array(*pairs)))
+def _ranked_values(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """Quantiles of small groups from the counts of their distinct values."""
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+    whole = Window.partitionBy(*keys)
+    upto = F.sum("rows").over(whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", upto).withColumn("n", F.sum("rows").over(whole))
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("value")))
+
+    ranks = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    ends = ranked.groupBy(*keys, "n").agg(
+        *[at(F.floor(r)).alias(f"a{i}") for i, r in enumerate(ranks)],
+        *[at(F.ceil(r)).alias(f"b{i}") for i, r in enumerate(ranks)])
+    pairs = [F.struct(F.lit(p).alias("q"), _between(F.col(f"a{i}"), F.col(f"b{i}"), r)
+                      .alias("value")) for i, (p, r) in enumerate(zip(probs, ranks))]
+    return ends.select(*keys, "n", F.inline(F.array(*pairs)))
+
+
+def _between(a: Column, b: Column, rank: Column) -> Column:
+    return a + (b - a) * (rank - F.floor(rank))
 
 
 def _selected(joined: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,8 +99,7 @@ def _selected(joined: DataFrame, keys: list[str]) -> DataFrame:
     ends = ranked.groupBy(*keys, "n", "q").agg(
         F.min(F.when(F.col("upto") > F.floor(rank), F.col("v"))).alias("a"),
         F.min(F.when(F.col("upto") > F.ceil(rank), F.col("v"))).alias("b"))
-    value = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
-    return ends.select(*keys, "n", "q", value.alias("value"))
+    return ends.select(*keys, "n", "q", _between(F.col("a"), F.col("b"), rank).alias("value"))
 
 
 def approximate_quantiles(df: DataFrame, columns: list[str], probs: list[float],
