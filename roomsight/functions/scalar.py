@@ -28,7 +28,10 @@ def normalise_text(c: Column) -> Column:
 
 
 def lookup(c: Column, mapping: dict) -> Column:
-    """Value for a key of a constant mapping, NULL for an unknown or missing key."""
+    """Value for a key of a constant mapping, NULL for an unknown or missing key.
+
+    Values are constants or columns.
+    """
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
     return F.when(c.isNotNull(), F.try_element_at(F.create_map(*pairs), c))
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import FOLDS, SEED, TEST_SHARE
 from ..functions.hashing import hash_bucket, hash_key
+from ..functions.scalar import lookup
 from .fitted import bounded_rows
 
 MAX_CLASSES = 1_000
@@ -37,21 +37,25 @@ class CutPoints:
     seed: int
     cuts: dict
 
-    def part(self) -> Column:
-        """Part number of a row: how many cut points of its class come before it."""
-        key, ident = hash_key(F.col(self.ident), self.seed), F.col(self.ident)
+    def mark(self, df: DataFrame, name: str) -> DataFrame:
+        """Add the part number of each row: how many cut points of its class lie before it.
 
-        def beyond(points: list) -> Column:
-            later = [((key > h) | ((key == h) & (ident > F.lit(i)))).cast("int")
-                     for h, i in points]
-            return reduce(lambda a, b: a + b, later, F.lit(0))
+        NULL for a row whose class has no cut points. A projection: no join, no exchange.
+        """
+        kind = df.schema[self.ident].dataType
+
+        def points(found: list) -> Column:
+            return F.array(*[F.struct(F.lit(h).alias("h"), F.lit(i).cast(kind).alias("i"))
+                             for h, i in found])
 
         if self.label is None:
-            return beyond(self.cuts[None])
-        chosen = F.lit(None).cast("int")
-        for value, points in self.cuts.items():
-            chosen = F.when(F.col(self.label) == value, beyond(points)).otherwise(chosen)
-        return chosen
+            mine = points(self.cuts[None])
+        else:
+            mine = lookup(F.col(self.label), {c: points(found) for c, found in self.cuts.items()})
+        keyed = df.withColumn("_key", hash_key(F.col(self.ident), self.seed))
+        passed = F.filter(mine, lambda p: (F.col("_key") > p["h"])
+                          | ((F.col("_key") == p["h"]) & (F.col(self.ident) > p["i"])))
+        return keyed.withColumn(name, F.when(mine.isNotNull(), F.size(passed))).drop("_key")
 
 
 def fit_cut_points(df: DataFrame, ident: str, label: str | None, wanted: dict,
@@ -112,7 +116,7 @@ def stratified_split(df: DataFrame, ident: str, label: str, share: float = TEST_
     """
     sizes = stratified_test_sizes(class_counts(df, label), share)
     cut = fit_cut_points(df, ident, label, {c: [n] for c, n in sizes.items()}, seed)
-    return df.withColumn("is_test", cut.part() == 0)
+    return cut.mark(df, "is_test").withColumn("is_test", F.col("is_test") == 0)
 
 
 def _even_ranks(n: int, parts: int) -> list[int]:
@@ -123,7 +127,7 @@ def stratified_folds(df: DataFrame, ident: str, label: str, folds: int = FOLDS,
                      seed: int = SEED) -> DataFrame:
     """Add ``fold``: consecutive stretches of each class in hash order, equal to within 1."""
     wanted = {c: _even_ranks(n, folds) for c, n in class_counts(df, label).items()}
-    return df.withColumn("fold", fit_cut_points(df, ident, label, wanted, seed).part())
+    return fit_cut_points(df, ident, label, wanted, seed).mark(df, "fold")
 
 
 def group_split(df: DataFrame, group: str, share: float = TEST_SHARE,
@@ -132,7 +136,8 @@ def group_split(df: DataFrame, group: str, share: float = TEST_SHARE,
     groups = df.where(F.col(group).isNotNull()).select(group).distinct()
     n = groups.count()
     cut = fit_cut_points(groups, group, None, {None: [math.ceil(share * n)]}, seed)
-    return df.withColumn("is_test", F.when(F.col(group).isNotNull(), cut.part() == 0))
+    return cut.mark(df, "is_test").withColumn(
+        "is_test", F.when(F.col(group).isNotNull(), F.col("is_test") == 0))
 
 
 def group_folds(df: DataFrame, group: str, label: str, order: list, folds: int = FOLDS,

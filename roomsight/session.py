@@ -30,6 +30,17 @@ def session(app: str = "roomsight", master: str | None = None, **extra: str) ->
     return builder.getOrCreate()
 
 
+def sizing(shuffle_bytes: int, task_bytes: int = 128 * 2 ** 20) -> dict[str, str]:
+    """Settings that keep a shuffle of the given size at ``task_bytes`` per task.
+
+    For 100 TB that is 800,000 first partitions at 128 MB; adaptive execution merges those
+    that turn out small.
+    """
+    partitions = max(200, -(-shuffle_bytes // task_bytes))
+    return {"spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes)}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can see: ``spark.checkpoint.dir`` of the session.
 
