@@ -1,21 +1,23 @@
 """Exact quantiles without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one task's memory. Here the groups are
-counted first. If all are small, their distinct values are counted and ranked. Otherwise a
-mergeable sketch brackets each wanted quantile, and a second pass counts the rows below the
-bracket and the rows per distinct value inside it. Then only bracket values are ranked: about
-``6 / ACCURACY`` of the distinct values of a large group, and all values of a group that has
-at most ``ACCURACY`` rows.
+``percentile`` keeps every distinct value of a group in one task's memory. Here the rows are
+counted first. If they are few, the distinct values are counted and ranked. Otherwise a
+mergeable sketch brackets each wanted quantile, and a second pass counts the rows per distinct
+value inside a bracket and the rows in each gap between brackets. Then only bracket values are
+ranked: about ``6 / ACCURACY`` of the distinct values of a large group and quantile, and all
+values of a group that has at most ``ACCURACY`` rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .fitted import BROADCAST_ROWS, match
 
 ACCURACY = 10_000
-SMALL_GROUP = 1_000_000
+SMALL_TABLE = 1_000_000
 MARGIN = 3.0 / ACCURACY
 
 
@@ -25,28 +27,30 @@ def _long(df: DataFrame, columns: dict[str, Column], by: list[str]) -> DataFrame
 
 
 def _brackets(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    """One row per group, column and probability: n and the interval holding the quantile."""
+    """One row per group and column: per probability an interval that holds the quantile."""
     marks = [m for p in probs for m in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
     sketch = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
         F.percentile_approx("value", marks, ACCURACY).alias("marks"))
     small = F.col("n") <= ACCURACY
-    wanted = [F.struct(
-        F.lit(float(p)).alias("q"),
-        F.when(small, F.col("lowest")).otherwise(F.col("marks")[2 * i]).alias("low"),
-        F.when(small, F.col("highest")).otherwise(F.col("marks")[2 * i + 1]).alias("high"))
-        for i, p in enumerate(probs)]
-    return sketch.select(*keys, "n", F.inline(F.array(*wanted)))
+    ends = []
+    for i in range(len(probs)):
+        ends += [F.when(small, F.col("lowest")).otherwise(F.col("marks")[2 * i]).alias(f"low{i}"),
+                 F.when(small, F.col("highest")).otherwise(F.col("marks")[2 * i + 1])
+                 .alias(f"high{i}")]
+    return sketch.select(*keys, *ends)
 
 
 def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list[float],
-              by: list[str] | None = None, small_group: int = SMALL_GROUP) -> DataFrame:
+              by: list[str] | None = None, rows: int | None = None,
+              small_table: int = SMALL_TABLE) -> DataFrame:
     """Exact quantiles with linear interpolation: (by..., column, n, q, value).
 
     ``columns`` may map names to expressions. Missing values do not count; a group whose
-    key is missing is a group here. Up to 10,000 brackets are broadcast, which the count
-    of the groups has shown before; more take an ordinary join.
+    key is missing is a group here. ``rows`` is the number of rows where the caller knows
+    it. Brackets of up to 10,000 groups are broadcast, which a count of the groups shows
+    before; more take an ordinary join.
     """
     by = by or []
     if not isinstance(columns, dict):
@@ -54,22 +58,32 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     probs = [float(p) for p in probs]
     long = _long(df, columns, by)
     keys = [*by, "column"]
-    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).take(BROADCAST_ROWS + 1)
-    few = len(sizes) <= BROADCAST_ROWS
-    if few and all(r["n"] <= small_group for r in sizes):
-        return _ranked_values(long, probs, keys)
+    if (df.count() if rows is None else rows) <= small_table:
+        return _at_ranks(long.withColumn("gap", F.lit(False)), probs, keys)
     brackets = _brackets(long, probs, keys)
-    if few and len(sizes) * len(probs) <= BROADCAST_ROWS:
-        brackets = F.broadcast(brackets)
-    return _selected(match(long, brackets, keys), keys)
+    few = not by or len(long.select(*keys).distinct().take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
+    joined = match(long, F.broadcast(brackets) if few else brackets, keys)
+    return _at_ranks(_gaps_merged(joined, len(probs)), probs, keys)
+
 
+def _gaps_merged(joined: DataFrame, n: int) -> DataFrame:
+    """Values outside all brackets are replaced by the end of the bracket before them."""
+    value = F.col("value")
+    inside = reduce(lambda a, b: a | b, [value.between(F.col(f"low{i}"), F.col(f"high{i}"))
+                                         for i in range(n)])
+    before = [F.when(value > F.col(f"high{i}"), F.col(f"high{i}")) for i in range(n)]
+    last = F.greatest(*before) if n > 1 else before[0]
+    return joined.withColumns({"value": F.when(inside, value).otherwise(last), "gap": ~inside})
 
-def _ranked_values(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    """Quantiles of small groups from the counts of their distinct values."""
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+
+def _at_ranks(rows: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """Values at the wanted ranks; a gap sorts after the value it follows, or first of all."""
+    counts = rows.groupBy(*keys, "value", "gap").agg(F.count(F.lit(1)).alias("rows"))
     whole = Window.partitionBy(*keys)
-    upto = F.sum("rows").over(whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("upto", upto).withColumn("n", F.sum("rows").over(whole))
+    running = whole.orderBy(F.col("value").asc_nulls_first(), "gap").rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranked = counts.withColumns({"upto": F.sum("rows").over(running),
+                                 "n": F.sum("rows").over(whole)})
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("upto") > rank, F.col("value")))
@@ -78,28 +92,12 @@ def _ranked_values(long: DataFrame, probs: list[float], keys: list[str]) -> Data
     ends = ranked.groupBy(*keys, "n").agg(
         *[at(F.floor(r)).alias(f"a{i}") for i, r in enumerate(ranks)],
         *[at(F.ceil(r)).alias(f"b{i}") for i, r in enumerate(ranks)])
-    pairs = [F.struct(F.lit(p).alias("q"), _between(F.col(f"a{i}"), F.col(f"b{i}"), r)
-                      .alias("value")) for i, (p, r) in enumerate(zip(probs, ranks))]
-    return ends.select(*keys, "n", F.inline(F.array(*pairs)))
-
-
-def _between(a: Column, b: Column, rank: Column) -> Column:
-    return a + (b - a) * (rank - F.floor(rank))
-
-
-def _selected(joined: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact values at the wanted ranks from rows that carry their bracket."""
-    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    hits = (joined.where("value <= high").groupBy(*keys, "q", "n", inside.alias("v"))
-            .agg(F.count(F.lit(1)).alias("rows")))
-    order = Window.partitionBy(*keys, "q").orderBy(F.col("v").asc_nulls_first())
-    ranked = hits.withColumn("upto", F.sum("rows").over(
-        order.rowsBetween(Window.unboundedPreceding, 0)))
-    rank = (F.col("n") - 1) * F.col("q")
-    ends = ranked.groupBy(*keys, "n", "q").agg(
-        F.min(F.when(F.col("upto") > F.floor(rank), F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.ceil(rank), F.col("v"))).alias("b"))
-    return ends.select(*keys, "n", "q", _between(F.col("a"), F.col("b"), rank).alias("value"))
+    found = []
+    for i, (p, r) in enumerate(zip(probs, ranks)):
+        a, b = F.col(f"a{i}"), F.col(f"b{i}")
+        found.append(F.struct(F.lit(p).alias("q"),
+                              (a + (b - a) * (r - F.floor(r))).alias("value")))
+    return ends.select(*keys, "n", F.inline(F.array(*found)))
 
 
 def approximate_quantiles(df: DataFrame, columns: list[str], probs: list[float],
@@ -115,9 +113,10 @@ def approximate_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     return sketch.select(*by, "column", "n", F.inline(F.array(*pairs)))
 
 
-def medians(df: DataFrame, columns: dict[str, Column]) -> dict[str, float | None]:
+def medians(df: DataFrame, columns: dict[str, Column],
+            rows: int | None = None) -> dict[str, float | None]:
     """Global exact medians as numbers, one per named expression; None if nothing is present."""
-    found = {r["column"]: r["value"] for r in quantiles(df, columns, [0.5]).collect()}
+    found = {r["column"]: r["value"] for r in quantiles(df, columns, [0.5], rows=rows).collect()}
     return {c: found.get(c) for c in columns}
 
 

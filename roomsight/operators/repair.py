@@ -60,10 +60,11 @@ def fit_missing_to_median(df: DataFrame, columns: list[str]) -> Replace:
                    medians(df, {c: F.col(c) for c in columns}))
 
 
-def fit_negative_to_median(df: DataFrame, columns: list[str]) -> Replace:
+def fit_negative_to_median(df: DataFrame, columns: list[str],
+                           rows: int | None = None) -> Replace:
     """Negative values -> median of the others."""
     return Replace({c: F.col(c) < 0 for c in columns},
-                   medians(df, {c: F.when(F.col(c) >= 0, F.col(c)) for c in columns}))
+                   medians(df, {c: F.when(F.col(c) >= 0, F.col(c)) for c in columns}, rows))
 
 
 def _modes(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:

@@ -15,11 +15,15 @@ MAX_PIVOT = 1_000
 
 
 def _per_column(df: DataFrame, columns: list[str], measures: dict) -> DataFrame:
-    """One pass: a struct of measures per column, then one row per column."""
-    rows = [F.struct(F.lit(c).alias("column"),
-                     *[make(F.col(c)).alias(name) for name, make in measures.items()])
-            for c in columns]
-    return df.agg(F.array(*rows).alias("m")).select(F.inline("m"))
+    """One row of measures per column.
+
+    The columns are stacked and grouped by name: the few aggregates compile into one tight
+    loop, which a set of aggregates per column does not, and a task shuffles one row per
+    column.
+    """
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return wide.unpivot([], columns, "column", "value").groupBy("column").agg(
+        *[make(F.col("value")).alias(name) for name, make in measures.items()])
 
 
 def shape_stats(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -31,7 +35,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, std, min, quartiles, max, skewness and kurtosis; one row per column."""
     simple = _per_column(df, columns, {
         "count": F.count, "mean": F.avg, "std": F.stddev_samp,
-        "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double"),
+        "min": F.min, "max": F.max,
         "skewness": sample_skewness, "kurtosis": sample_kurtosis})
     # A row per column on both sides: the number of columns bounds the broadcast.
     joined = simple.join(F.broadcast(quartiles(df, columns)), "column", "left")

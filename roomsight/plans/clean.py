@@ -8,7 +8,7 @@ from .. import constants as K
 from ..functions.scalar import canonical, nan_to_null, normalise_text, outside
 from ..operators import repair
 from ..operators.quantiles import medians
-from ..session import cut_lineage
+from ..session import cut_lineage, together
 
 
 def standardise_labels(df: DataFrame) -> DataFrame:
@@ -27,13 +27,18 @@ def clean_eager(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:
     """
     df = standardise_labels(nan_to_null(df))
     hot = outside(F.col("temperature"), *K.TEMPERATURE_BOUNDS)
-    found = medians(df, {"temperature": F.when(~hot, F.col("temperature")),
-                         **{c: F.col(c) for c in K.MEDIAN_FILLED}})
-    df = repair.Replace({"temperature": hot, **{c: F.col(c).isNull() for c in K.MEDIAN_FILLED}},
-                        found).transform(df)
-    light = repair.fit_missing_to_mode(df, ["ambient_light"])
-    df = repair.fit_negative_to_median(df, K.NEGATIVE_REPAIRED).transform(df)
-    return repair.dedupe(light.transform(df), ignore)
+    rows = df.count()
+
+    def numbers() -> DataFrame:
+        found = medians(df, {"temperature": F.when(~hot, F.col("temperature")),
+                             **{c: F.col(c) for c in K.MEDIAN_FILLED}}, rows)
+        bad = {"temperature": hot, **{c: F.col(c).isNull() for c in K.MEDIAN_FILLED}}
+        filled = repair.Replace(bad, found).transform(df)
+        return repair.fit_negative_to_median(filled, K.NEGATIVE_REPAIRED, rows).transform(filled)
+
+    filled, light = together(df.sparkSession, numbers,
+                             lambda: repair.fit_missing_to_mode(df, ["ambient_light"]))
+    return repair.dedupe(light.transform(filled), ignore)
 
 
 def clean_deferred(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -63,6 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def together(spark: SparkSession, *tasks: Callable[[], T]) -> list[T]:
+    """Run independent fits at the same time; each submits jobs of its own."""
+    with ThreadPool(len(tasks)) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda task: task()), tasks)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 

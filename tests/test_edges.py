@@ -235,7 +235,7 @@ def test_quantiles_of_any_size_agree_with_sorting(spark, n):
     df = spark.createDataFrame(pd.DataFrame({"x": values}))
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     for small in (0, 1_000_000):
-        for r in quantiles.quantiles(df, ["x"], probs, small_group=small).collect():
+        for r in quantiles.quantiles(df, ["x"], probs, small_table=small).collect():
             assert math.isclose(r["value"], np.quantile(values, r["q"]), abs_tol=1e-9)
 
 
@@ -244,8 +244,8 @@ def test_quantiles_where_one_value_is_most_rows(spark):
         F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("x"),
         F.when(F.col("id") < 10, None).otherwise(F.col("id") % 2).alias("g"))
     pdf = df.toPandas()
-    for by, got in ((None, quantiles.quantiles(df, ["x"], [0.1, 0.5, 0.9], small_group=0)),
-                    ("g", quantiles.quantiles(df, ["x"], [0.1, 0.5, 0.9], ["g"], 0))):
+    for by, got in ((None, quantiles.quantiles(df, ["x"], [0.1, 0.5, 0.9], small_table=0)),
+                    ("g", quantiles.quantiles(df, ["x"], [0.1, 0.5, 0.9], ["g"], small_table=0))):
         for r in got.collect():
             part = pdf if by is None else pdf[pdf.g.isna() if r["g"] is None else pdf.g == r["g"]]
             assert math.isclose(r["value"], part.x.quantile(r["q"]), abs_tol=1e-9)
