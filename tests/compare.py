@@ -68,8 +68,11 @@ if __name__ == "__main__":
             if name not in oracles:
                 verdict = f"rows only: {mine.num_rows}"
             else:
-                found = difference(mine, con.execute(oracles[name]).to_arrow_table())
-                verdict = found or f"same {mine.num_rows} rows"
+                started = time.time()
+                theirs = con.sql(oracles[name]).to_arrow_table()
+                other = time.time() - started
+                found = difference(mine, theirs)
+                verdict = found or f"same {mine.num_rows} rows (SQL {other:.2f}s)"
                 bad += found is not None
         except Exception as e:  # report and go on with the next query
             took, bad = time.time() - started, bad + 1
