@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from roomsight import constants as K, session
+from roomsight.plans import features, training
 from roomsight.sources import files, sqlite
 
 
@@ -79,3 +80,20 @@ def test_cut_lineage_uses_the_shared_folder(spark):
     assert cut.exceptAll(df).isEmpty() and cut.count() == 10
     shared = session.shared_dir(spark).split(":")[-1]
     assert any(shared in f for f in cut.inputFiles())
+
+
+def test_from_sqlite_to_training_data(spark, raw, tmp_path):
+    """The whole chain on a table as it comes: source names, no time column, file order."""
+    path = str(tmp_path / "raw.db")
+    pdf = raw.orderBy("ts", "reading_id").select(*K.SOURCE_COLUMNS.values()).toPandas()
+    pdf.columns = list(K.SOURCE_COLUMNS)
+    with sqlite3.connect(path) as con:
+        pdf.to_sql("gas_monitoring", con, index=False)
+    source = files.bind_columns(sqlite.read_sqlite(spark, path, "gas_monitoring", 3))
+    order = ["reading_seq"]
+    made = features.features_full(source, order_by=order, ignore=order)
+    first = made.groupBy(K.SESSION).agg(F.min_by("Temp_Diff", "reading_seq").alias("d"))
+    assert first.where("d <> 0").isEmpty()
+    data = training.training_data(made, "reading_seq")
+    assert "reading_seq" not in data.names
+    assert data.train.count() + data.test.count() == made.count() == pdf.drop_duplicates().shape[0]
