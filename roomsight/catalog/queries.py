@@ -540,11 +540,15 @@ def features_full(spark, folder):
 
 # --- splits, scaling, balancing --------------------------------------------------------------------
 
+def _classed(spark, folder, columns=()) -> DataFrame:
+    """Rows without copies, written once, as the splits pass over them several times."""
+    return cut_lineage(repair.dedupe(_encoded(spark, folder)).select(
+        "reading_id", "target", *columns))
+
+
 @query
 def stratified_split(spark, folder):
-    df = repair.dedupe(_encoded(spark, folder))
-    return split.stratified_split(df, "reading_id", "target").select(
-        "reading_id", "target", "is_test")
+    return split.stratified_split(_classed(spark, folder), "reading_id", "target")
 
 
 @query
@@ -555,9 +559,7 @@ def stratified_split_labels(spark, folder):
 
 @query
 def stratified_folds(spark, folder):
-    df = repair.dedupe(_encoded(spark, folder))
-    return split.stratified_folds(df, "reading_id", "target").select(
-        "reading_id", "target", "fold")
+    return split.stratified_folds(_classed(spark, folder), "reading_id", "target")
 
 
 @query
@@ -582,8 +584,8 @@ def class_weights_labels(spark, folder):
 
 @query
 def standardise(spark, folder):
-    df = split.stratified_split(repair.dedupe(_encoded(spark, folder)), "reading_id", "target")
     columns = ["temperature", "co2_infrared", "mox_1"]
+    df = split.stratified_split(_classed(spark, folder, columns), "reading_id", "target")
     fitted = scale.fit_standardiser(df.where(~F.col("is_test")), columns)
     return fitted.transform(df).select("reading_id", *columns)
 
@@ -612,8 +614,7 @@ def smote_rows(spark, folder):
 def smote_readings(spark, folder):
     """Three scaled sensors of the readings, balanced: rows per class and kind."""
     columns = ["temperature", "co2_infrared", "mox_1"]
-    df = cut_lineage(repair.dedupe(_encoded(spark, folder).where(F.col("target").isNotNull()))
-                     .select("reading_id", "target", *columns))
+    df = _classed(spark, folder, columns).where(F.col("target").isNotNull())
     scaled = scale.fit_standardiser(df, columns).transform(df)
     made = balance.smote(scaled, "reading_id", "target", columns)
     return made.groupBy("target", "is_synthetic").agg(F.count(F.lit(1)).alias("n"))

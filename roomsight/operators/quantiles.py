@@ -44,13 +44,14 @@ def _brackets(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame
 
 def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list[float],
               by: list[str] | None = None, rows: int | None = None,
-              small_table: int = SMALL_TABLE) -> DataFrame:
+              small_table: int = SMALL_TABLE, accuracy: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: (by..., column, n, q, value).
 
     ``columns`` may map names to expressions. Missing values do not count; a group whose
     key is missing is a group here. ``rows`` is the number of rows where the caller knows
     it. Brackets of up to 10,000 groups are broadcast, which a count of the groups shows
-    before; more take an ordinary join.
+    before; more take an ordinary join. ``accuracy`` asks for one pass with a rank error of
+    ``1 / accuracy`` instead.
     """
     by = by or []
     if not isinstance(columns, dict):
@@ -58,6 +59,8 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     probs = [float(p) for p in probs]
     long = _long(df, columns, by)
     keys = [*by, "column"]
+    if accuracy:
+        return _sketched(long, probs, keys, accuracy)
     if (df.count() if rows is None else rows) <= small_table:
         return _at_ranks(long.withColumn("gap", F.lit(False)), probs, keys)
     brackets = _brackets(long, probs, keys)
@@ -100,29 +103,27 @@ def _at_ranks(rows: DataFrame, probs: list[float], keys: list[str]) -> DataFrame
     return ends.select(*keys, "n", F.inline(F.array(*found)))
 
 
-def approximate_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                          by: list[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
-    """One-pass variant for callers who accept a rank error of ``1 / accuracy``."""
-    by = by or []
-    long = _long(df, {c: F.col(c) for c in columns}, by)
-    sketch = long.groupBy(*by, "column").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("v"))
-    pairs = [F.struct(F.lit(float(p)).alias("q"), F.col("v")[i].alias("value"))
+def _sketched(long: DataFrame, probs: list[float], keys: list[str], accuracy: int) -> DataFrame:
+    sketch = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probs, accuracy).alias("v"))
+    pairs = [F.struct(F.lit(p).alias("q"), F.col("v")[i].alias("value"))
              for i, p in enumerate(probs)]
-    return sketch.select(*by, "column", "n", F.inline(F.array(*pairs)))
+    return sketch.select(*keys, "n", F.inline(F.array(*pairs)))
 
 
-def medians(df: DataFrame, columns: dict[str, Column],
-            rows: int | None = None) -> dict[str, float | None]:
-    """Global exact medians as numbers, one per named expression; None if nothing is present."""
-    found = {r["column"]: r["value"] for r in quantiles(df, columns, [0.5], rows=rows).collect()}
+def medians(df: DataFrame, columns: dict[str, Column], rows: int | None = None,
+            accuracy: int | None = None) -> dict[str, float | None]:
+    """Global medians as numbers, one per named expression; None if nothing is present."""
+    long = quantiles(df, columns, [0.5], rows=rows, accuracy=accuracy)
+    found = {r["column"]: r["value"] for r in long.collect()}
     return {c: found.get(c) for c in columns}
 
 
-def quartiles(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+def quartiles(df: DataFrame, columns: list[str], by: list[str] | None = None,
+              accuracy: int | None = None) -> DataFrame:
     """Quartiles in one row per group and column: (by..., column, q25, q50, q75)."""
     by = by or []
     pick = [F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
             for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
-    return quantiles(df, columns, [0.25, 0.5, 0.75], by).groupBy(*by, "column").agg(*pick)
+    return (quantiles(df, columns, [0.25, 0.5, 0.75], by, accuracy=accuracy)
+            .groupBy(*by, "column").agg(*pick))

@@ -49,15 +49,18 @@ class GroupFill:
         return filled.select(*df.columns)
 
 
-def fit_outside_to_median(df: DataFrame, column: str, low: float, high: float) -> Replace:
+def fit_outside_to_median(df: DataFrame, column: str, low: float, high: float,
+                          accuracy: int | None = None) -> Replace:
     """Values beyond [low, high] -> median of the valid ones; missing stays missing."""
     bad = outside(F.col(column), low, high)
-    return Replace({column: bad}, medians(df, {column: F.when(~bad, F.col(column))}))
+    return Replace({column: bad}, medians(df, {column: F.when(~bad, F.col(column))}, None, accuracy))
 
 
-def fit_missing_to_median(df: DataFrame, columns: list[str]) -> Replace:
+def fit_missing_to_median(df: DataFrame, columns: list[str],
+                          accuracy: int | None = None) -> Replace:
+    """Missing numbers -> global median; exact unless an ``accuracy`` is given."""
     return Replace({c: F.col(c).isNull() for c in columns},
-                   medians(df, {c: F.col(c) for c in columns}))
+                   medians(df, {c: F.col(c) for c in columns}, None, accuracy))
 
 
 def fit_negative_to_median(df: DataFrame, columns: list[str],
@@ -93,9 +96,10 @@ def fit_group_mode(df: DataFrame, columns: list[str], by: str) -> GroupFill:
     return GroupFill(by, columns, _widen(_modes(df, columns, [by]), columns, by))
 
 
-def fit_group_median(df: DataFrame, columns: list[str], by: str) -> GroupFill:
+def fit_group_median(df: DataFrame, columns: list[str], by: str,
+                     accuracy: int | None = None) -> GroupFill:
     """Missing numbers -> median of the group; a missing key makes the result missing."""
-    long = quantiles(df.where(F.col(by).isNotNull()), columns, [0.5], [by])
+    long = quantiles(df.where(F.col(by).isNotNull()), columns, [0.5], [by], accuracy=accuracy)
     return GroupFill(by, columns, _widen(long, columns, by))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..constants import FOLDS, SEED, TEST_SHARE
 from ..functions.hashing import hash_bucket, hash_key
 from ..functions.scalar import lookup
-from .fitted import bounded_rows
+from .fitted import attach, bounded_rows
 
 MAX_CLASSES = 1_000
 
@@ -192,3 +192,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     whole = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
     even = whole.select((F.col("n") / F.col("k"))).scalar()
     return counts.select(label, "n", (even / F.col("n")).alias("weight"))
+
+
+def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """Add the balanced weight of each row's class, for an estimator's ``weightCol``."""
+    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
+    return attach(df, weights, [label])

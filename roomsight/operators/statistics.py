@@ -31,14 +31,18 @@ def shape_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return _per_column(df, columns, {"skewness": sample_skewness, "kurtosis": sample_kurtosis})
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, std, min, quartiles, max, skewness and kurtosis; one row per column."""
+def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+    """Count, mean, std, min, quartiles, max, skewness and kurtosis; one row per column.
+
+    Quartiles are exact unless an ``accuracy`` is given.
+    """
     simple = _per_column(df, columns, {
         "count": F.count, "mean": F.avg, "std": F.stddev_samp,
         "min": F.min, "max": F.max,
         "skewness": sample_skewness, "kurtosis": sample_kurtosis})
     # A row per column on both sides: the number of columns bounds the broadcast.
-    joined = simple.join(F.broadcast(quartiles(df, columns)), "column", "left")
+    joined = simple.join(F.broadcast(quartiles(df, columns, None, accuracy)), "column",
+                         "left")
     return joined.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max",
                          "skewness", "kurtosis")
 

@@ -239,6 +239,16 @@ def test_quantiles_of_any_size_agree_with_sorting(spark, n):
             assert math.isclose(r["value"], np.quantile(values, r["q"]), abs_tol=1e-9)
 
 
+def test_approximate_medians(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("x"), F.lit("a").alias("g"))
+    assert quantiles.medians(df, {"x": F.col("x")}, accuracy=1000) == {"x": 500.0}
+    assert T.describe(df, ["x"], 1000).first()["q50"] == 500.0
+    holes = df.withColumn("x", F.when(F.col("x") != 3, F.col("x")))
+    for fitted in (repair.fit_missing_to_median(holes, ["x"], 1000),
+                   repair.fit_group_median(holes, ["x"], "g", 1000)):
+        assert fitted.transform(holes).where(F.col("x").isNull()).isEmpty()
+
+
 def test_quantiles_where_one_value_is_most_rows(spark):
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("x"),
