@@ -1,11 +1,13 @@
-"""Exact quantiles without gathering a column in one task.
-
-``percentile`` keeps every distinct value of a group in one task's memory. Here the rows are
-counted first. If they are few, the distinct values are counted and ranked. Otherwise a
-mergeable sketch brackets each wanted quantile, and a second pass counts the rows per distinct
-value inside a bracket and the rows in each gap between brackets. Then only bracket values are
-ranked: about ``6 / ACCURACY`` of the distinct values of a large group and quantile, and all
-values of a group that has at most ``ACCURACY`` rows.
+"""Exact quantiles without gathering a column, its values or its sketches in one task.
+
+``percentile`` keeps every distinct value of a group in one task's memory. Here a small table
+has its distinct values counted and ranked. A large one is narrowed in three passes over the
+columns concerned, each with a small shuffle:
+
+1. sketches, merged in up to 256 tasks per group, give an interval that holds the quantile;
+2. the interval is cut into 4,096 cells and the rows per cell and between intervals counted;
+3. only the values of the cells that hold the wanted ranks are counted and ranked: for all
+   distinct values, about two in a million rows.
 """
 
 from __future__ import annotations
@@ -14,11 +16,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .fitted import BROADCAST_ROWS, match
+from ..session import cut_lineage
+from .fitted import BROADCAST_ROWS, local_table, match
 
-ACCURACY = 10_000
 SMALL_TABLE = 1_000_000
-MARGIN = 3.0 / ACCURACY
+SMALL_GROUP = 10_000
+ACCURACY = 2_000
+MARKS = 1_000
+TASKS = 256
+CELLS = 4_096
 
 
 def _long(df: DataFrame, columns: dict[str, Column], by: list[str]) -> DataFrame:
@@ -26,22 +32,6 @@ def _long(df: DataFrame, columns: dict[str, Column], by: list[str]) -> DataFrame
     return wide.unpivot(by, list(columns), "column", "value").where("value IS NOT NULL")
 
 
-def _brackets(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    """One row per group and column: per probability an interval that holds the quantile."""
-    marks = [m for p in probs for m in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lowest"),
-        F.max("value").alias("highest"),
-        F.percentile_approx("value", marks, ACCURACY).alias("marks"))
-    small = F.col("n") <= ACCURACY
-    ends = []
-    for i in range(len(probs)):
-        ends += [F.when(small, F.col("lowest")).otherwise(F.col("marks")[2 * i]).alias(f"low{i}"),
-                 F.when(small, F.col("highest")).otherwise(F.col("marks")[2 * i + 1])
-                 .alias(f"high{i}")]
-    return sketch.select(*keys, *ends)
-
-
 def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list[float],
               by: list[str] | None = None, rows: int | None = None,
               small_table: int = SMALL_TABLE, accuracy: int | None = None) -> DataFrame:
@@ -49,9 +39,7 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
 
     ``columns`` may map names to expressions. Missing values do not count; a group whose
     key is missing is a group here. ``rows`` is the number of rows where the caller knows
-    it. Brackets of up to 10,000 groups are broadcast, which a count of the groups shows
-    before; more take an ordinary join. ``accuracy`` asks for one pass with a rank error of
-    ``1 / accuracy`` instead.
+    it. ``accuracy`` asks for one pass with a rank error of ``1 / accuracy`` instead.
     """
     by = by or []
     if not isinstance(columns, dict):
@@ -62,32 +50,96 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     if accuracy:
         return _sketched(long, probs, keys, accuracy)
     if (df.count() if rows is None else rows) <= small_table:
-        return _at_ranks(long.withColumn("gap", F.lit(False)), probs, keys)
-    brackets = _brackets(long, probs, keys)
-    few = not by or len(long.select(*keys).distinct().take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    joined = match(long, F.broadcast(brackets) if few else brackets, keys)
-    return _at_ranks(_gaps_merged(joined, len(probs)), probs, keys)
-
-
-def _gaps_merged(joined: DataFrame, n: int) -> DataFrame:
-    """Values outside all brackets are replaced by the end of the bracket before them."""
-    value = F.col("value")
-    inside = reduce(lambda a, b: a | b, [value.between(F.col(f"low{i}"), F.col(f"high{i}"))
-                                         for i in range(n)])
-    before = [F.when(value > F.col(f"high{i}"), F.col(f"high{i}")) for i in range(n)]
-    last = F.greatest(*before) if n > 1 else before[0]
-    return joined.withColumns({"value": F.when(inside, value).otherwise(last), "gap": ~inside})
-
-
-def _at_ranks(rows: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    """Values at the wanted ranks; a gap sorts after the value it follows, or first of all."""
-    counts = rows.groupBy(*keys, "value", "gap").agg(F.count(F.lit(1)).alias("rows"))
+        return _ranked(long, probs, keys)
+    order = sorted(set(probs))
+    brackets = _brackets(long, order, keys)
+    # Fixed before use, as sketches may differ between two runs of the same plan.
+    head = brackets.take(BROADCAST_ROWS + 1)
+    few = len(head) <= BROADCAST_ROWS
+    brackets = F.broadcast(local_table(brackets, head)) if few else cut_lineage(brackets)
+    placed = match(long, brackets, keys).withColumn("cell", _cell(len(order)))
+    return _narrowed(placed.select(*keys, "value", "cell"), probs, keys, few)
+
+
+def _brackets(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """One row per group: for each probability (ascending) an interval that holds it.
+
+    Each task's sketch goes to one of 256 tasks per group. The marks of all of them, taken
+    together, place a value to within ``1 / MARKS + 1 / ACCURACY`` of all rows and one row
+    per task; the interval is twice as wide to each side.
+    """
+    levels = [i / MARKS for i in range(1, MARKS + 1)]
+    spread = long.withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(TASKS)))
+    sketch = spread.groupBy(*keys, "_task").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"),
+        F.percentile_approx("value", levels, ACCURACY).alias("_marks"))
+    marks = sketch.select(*keys, "_n", "_min", "_max", F.explode("_marks").alias("_mark"))
+    whole = Window.partitionBy(*keys)
+    ranked = marks.withColumns({
+        "_at": F.sum(F.col("_n") / MARKS).over(whole.orderBy("_mark")),
+        "_all": F.sum(F.col("_n") / MARKS).over(whole)})
+    margin = F.col("_all") * (2.0 / MARKS + 2.0 / ACCURACY) + 2.0 * TASKS
+    low, high = F.min("_min"), F.max("_max")
+    few = F.max("_all") <= SMALL_GROUP
+    ends = []
+    for i, p in enumerate(probs):
+        before = F.max(F.when(F.col("_at") <= F.col("_all") * p - margin, F.col("_mark")))
+        after = F.min(F.when(F.col("_at") >= F.col("_all") * p + margin, F.col("_mark")))
+        ends += [F.when(few, low).otherwise(F.coalesce(before, low)).alias(f"low{i}"),
+                 F.when(few, high).otherwise(F.coalesce(after, high)).alias(f"high{i}")]
+    found = ranked.groupBy(*keys).agg(*ends)
+    return found.withColumns({f"scale{i}": F.coalesce(F.least(F.try_divide(
+        F.lit(float(CELLS)), F.col(f"high{i}") - F.col(f"low{i}")), F.lit(1e300)), F.lit(0.0))
+        for i in range(len(probs))})
+
+
+def _cell(n: int) -> Column:
+    """Number of a value's cell, growing with the value.
+
+    Interval ``i`` has the cells from ``2 * CELLS * i`` on, the gap after it the one behind
+    them; all values before the first interval share cell -1.
+    """
+    value, cells = F.col("value"), []
+    for i in range(n):
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        part = F.floor((value - low) * F.col(f"scale{i}"))
+        inner = F.least(part, F.lit(CELLS - 1).cast("bigint")) + 2 * CELLS * i
+        cells.append(F.when(value.between(low, high), inner))
+    gaps = [F.when(value > F.col(f"high{i}"), F.lit(2 * CELLS * i + CELLS).cast("bigint"))
+            for i in range(n)]
+    return F.coalesce(*cells, F.greatest(F.lit(-1).cast("bigint"), *gaps))
+
+
+def _narrowed(placed: DataFrame, probs: list[float], keys: list[str], few: bool) -> DataFrame:
+    """Quantiles from values with their cells; only cells that hold a wanted rank go on."""
+    cells = placed.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("rows"))
     whole = Window.partitionBy(*keys)
-    running = whole.orderBy(F.col("value").asc_nulls_first(), "gap").rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranked = counts.withColumns({"upto": F.sum("rows").over(running),
-                                 "n": F.sum("rows").over(whole)})
+    upto = F.sum("rows").over(whole.orderBy("cell"))
+    sums = cells.withColumns({"upto": upto, "n": F.sum("rows").over(whole)})
+    ranks = [f((F.col("n") - 1) * F.lit(p)) for p in probs for f in (F.floor, F.ceil)]
+    holds = reduce(lambda a, b: a | b, [
+        (r < F.col("upto")) & (r >= F.col("upto") - F.col("rows")) for r in ranks])
+    wanted = sums.where(holds).select(*keys, "cell", "n",
+                                      (F.col("upto") - F.col("rows")).alias("start"))
+    # At most two cells per probability and group.
+    hits = match(placed, F.broadcast(wanted) if few else wanted, [*keys, "cell"])
+    counts = hits.groupBy(*keys, "cell", "n", "start", "value").agg(
+        F.count(F.lit(1)).alias("rows"))
+    inner = Window.partitionBy(*keys, "cell").orderBy("value")
+    return _at_ranks(counts.withColumn("upto", F.col("start") + F.sum("rows").over(inner)),
+                     probs, keys)
+
+
+def _ranked(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """Quantiles of a small table from the counts of its distinct values."""
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+    whole = Window.partitionBy(*keys)
+    return _at_ranks(counts.withColumns({"upto": F.sum("rows").over(whole.orderBy("value")),
+                                         "n": F.sum("rows").over(whole)}), probs, keys)
+
 
+def _at_ranks(ranked: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """Interpolated values at the wanted ranks: the first value with more rows up to it."""
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("upto") > rank, F.col("value")))
 

@@ -259,3 +259,23 @@ def test_quantiles_where_one_value_is_most_rows(spark):
         for r in got.collect():
             part = pdf if by is None else pdf[pdf.g.isna() if r["g"] is None else pdf.g == r["g"]]
             assert math.isclose(r["value"], part.x.quantile(r["q"]), abs_tol=1e-9)
+
+
+def test_quantiles_of_a_heavy_tail_over_many_tasks(spark):
+    df = spark.range(300_000, numPartitions=24).select(
+        F.when(F.col("id") % 5 == 0, -0.5).when(F.col("id") == 7, float("inf"))
+        .otherwise(F.exp(F.randn(3) * 6)).alias("x"), (F.col("id") % 3).alias("g")).persist()
+    pdf = df.toPandas()
+    probs = [0.001, 0.2, 0.5, 0.5001, 0.999]
+    for r in quantiles.quantiles(df, ["x"], probs, ["g"], small_table=0).collect():
+        part = pdf[pdf.g == r["g"]].x
+        assert r["n"] == len(part)
+        assert math.isclose(r["value"], part.quantile(r["q"]), rel_tol=1e-9)
+
+
+def test_quantiles_of_more_groups_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 3)
+    df = spark.range(20_000).select((F.col("id") % 8).alias("g"), F.rand(1).alias("x")).persist()
+    pdf = df.toPandas()
+    for r in quantiles.quantiles(df, ["x"], [0.3, 0.5], ["g"], small_table=0).collect():
+        assert math.isclose(r["value"], pdf[pdf.g == r["g"]].x.quantile(r["q"]), rel_tol=1e-9)
