@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 
 
 def hash_key(ident: Column, seed: int) -> Column:
@@ -13,7 +13,7 @@ def hash_key(ident: Column, seed: int) -> Column:
 
 
 def hash_bucket(key: Column) -> Column:
-    """The leading digits of a hash key: 65,536 equally likely, ordered buckets."""
+    """The leading digits of a hash key: 4,096 equally likely, ordered buckets."""
     return F.substring(key, 1, BUCKET_DIGITS)
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import DENSITY_POINTS, VIOLIN_CUT, VIOLIN_POINTS, WHISKER
-from .fitted import attach
+from .fitted import BROADCAST_ROWS, attach, local_table
 from .quantiles import quartiles
 
+REPEATS = 4
+
 
 def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -45,18 +47,26 @@ def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
 def _density(long: DataFrame, keys: list[str], points: int, cut: float) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid per group.
 
-    Equal values are counted first; each distinct value then adds to ``points`` running
-    sums inside its own task, so nothing but one partial sum per grid point is shuffled.
+    Each value adds to ``points`` running sums inside its own task, which shuffles one
+    partial sum per grid point. Where values repeat, equal ones are counted first; where
+    they hardly do, that would shuffle the data for nothing.
     """
     band = F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")
     span = (long.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("sd"),
-                 F.min("value").alias("lo"), F.max("value").alias("hi"))
+                 F.min("value").alias("lo"), F.max("value").alias("hi"),
+                 F.approx_count_distinct("value").alias("distinct"))
             .where("sd > 0").withColumn("h", band))
-    span = span.select(*keys, "n", "h", (F.col("lo") - cut * F.col("h")).alias("lo"),
+    span = span.select(*keys, "n", "h", "distinct", (F.col("lo") - cut * F.col("h")).alias("lo"),
                        (F.col("hi") + cut * F.col("h")).alias("hi"))
-    weights = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("w"))
-    spread = attach(weights, span, keys, "inner").withColumn(
+    head = span.take(BROADCAST_ROWS + 1)
+    few = len(head) <= BROADCAST_ROWS
+    span = F.broadcast(local_table(span, head)) if few else span
+    if few and any(r["distinct"] * REPEATS > r["n"] for r in head):
+        weights = long.withColumn("w", F.lit(1))
+    else:
+        weights = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("w"))
+    spread = weights.join(span, keys).withColumn(
         "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     step = (F.col("hi") - F.col("lo")) / (points - 1)
     grid = F.col("lo") + F.col("point") * step

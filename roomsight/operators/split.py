@@ -1,9 +1,9 @@
 """Exact stratified and grouped splits by seeded hash order.
 
 The k-th row of a class in hash order is found without ranking the class in one task: rows
-are counted per class and hash bucket (65,536 equally likely buckets), the buckets are
-summed up, and only the one bucket that holds the wanted rank is ordered. The split itself
-is then a comparison of each row's key with the cut point: no rows are shuffled.
+are counted per class and hash bucket (4,096 equally likely buckets, few enough to collapse
+within a task), the buckets are summed up, and only the one bucket that holds the wanted
+rank is ordered. The split itself is then a comparison of each row's key with the cut point: no rows are shuffled.
 """
 
 from __future__ import annotations
@@ -172,7 +172,7 @@ def group_folds(df: DataFrame, group: str, label: str, order: list, folds: int =
 def hash_rank(df: DataFrame, ident: str, label: str, seed: int = SEED) -> DataFrame:
     """Add ``rank`` from 0 within each class in hash order, in tasks of one bucket each.
 
-    The table of bucket offsets has at most 65,536 rows per class.
+    The table of bucket offsets has at most 4,096 rows per class.
     """
     key = hash_key(F.col(ident), seed)
     keyed = df.withColumns({"_key": key, "_bucket": hash_bucket(key)})
