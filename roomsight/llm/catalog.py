@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontaminate, mixing, simhash, tokens, toxicity
+from . import (chunks, decontaminate, language, licences, mixing, quality, scoring, simhash, tokens,
+               toxicity)
 from .oracles import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +25,15 @@ def op2_mixture(spark, sf_dir):
     return mixing.report(_read(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark, sf_dir):
+    return scoring.report(_read(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    return quality.report(docs, quality.learn(docs, _read(spark, sf_dir, "labels")))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.report(_read(spark, sf_dir, "documents"))
 
@@ -33,10 +43,24 @@ def op6_token_output(spark, sf_dir):
                          public_tokenizers.path(TOKENIZER))
 
 
+def op7_language(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    return language.report(docs, language.learn(docs))
+
+
 def op8_toxicity(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
     return toxicity.report(docs, toxicity.learn(docs, _read(spark, sf_dir, "labels")))
 
 
+def op9_licence_scan(spark, sf_dir):
+    return licences.report(_read(spark, sf_dir, "documents"))
+
+
+def op10_chunk_fingerprints(spark, sf_dir):
+    return chunks.report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_mixture, op5_simhash, op6_token_output, op8_toxicity)}
+    op1_decontaminate, op2_mixture, op3_lm_scoring, op4_quality, op5_simhash, op6_token_output,
+    op7_language, op8_toxicity, op9_licence_scan, op10_chunk_fingerprints)}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import string
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
@@ -58,6 +60,25 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed for them.
+
+    Tells workers started from now on the folder the package lies in; elsewhere (on a cluster
+    that ships it) the folder is simply not there.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with functions of this package."""
+    reach(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def per_row(df: DataFrame, schema: str, make: Callable[[], Callable[[list], list[tuple]]],
             inputs: list[str], keep: list[str]) -> DataFrame:
     """Rows of ``keep`` plus what ``make()`` computes from ``inputs``, batch by batch.
@@ -87,4 +108,4 @@ def per_row(df: DataFrame, schema: str, make: Callable[[], Callable[[list], list
                 [batch.column(i) for i in range(n_keep)] + made,
                 schema=pa.schema(fields + list(out)))
 
-    return df.select(*keep, *given).mapInArrow(run, whole_type)
+    return map_arrow(df.select(*keep, *given), run, whole_type)

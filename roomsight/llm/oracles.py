@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .common import TOKEN, WORD
 from .decontaminate import WINDOW
+from .licences import BASE, COVERAGE, K, NEAR, STRETCHED, TEMPLATES, VOTES
 from .mixing import MOST, SEED, SHARE, WEIGHTS
 
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -63,3 +64,45 @@ JOIN upto u ON u.source IS NOT DISTINCT FROM r.source AND u.key = r.key
 """
 
 ORACLES = {"op1_decontaminate": OP1, "op2_mixture": OP2}
+
+_templates = ", ".join(f"({i}, '{label}', {str(base).lower()}, '{text}')" for i, (label, text, base) in
+                       enumerate([(*b, True) for b in BASE] + [(*t, False) for t in TEMPLATES]))
+
+OP9 = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {WORDS} AS ws FROM documents),
+tpl AS (SELECT tid, label, is_base, string_split(text, ' ') AS ws
+        FROM (VALUES {_templates}) AS v(tid, label, is_base, text)),
+tgrams AS (SELECT tid, label, is_base, len(ws) - {K - 1} AS grams, len(ws) AS length, s - 1 AS place,
+           array_to_string(ws[s:s + {K - 1}], ' ') AS gram
+           FROM (SELECT *, unnest(range(1, len(ws) - {K - 2})) AS s FROM tpl)),
+grams AS (SELECT r, s - 1 AS pos, array_to_string(ws[s:s + {K - 1}], ' ') AS gram
+          FROM (SELECT r, ws, unnest(range(1, len(ws) - {K - 2})) AS s FROM docs)),
+found AS (SELECT r, pos, tid, label, is_base, grams, length, place, pos - place AS diagonal
+          FROM grams JOIN tgrams USING (gram)),
+lines AS (SELECT r, tid, label, is_base, grams, length, diagonal, count(DISTINCT place) AS n,
+                 min(pos) AS low, max(pos) AS high FROM found GROUP BY ALL),
+opened AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, tid ORDER BY diagonal)
+                  <= {NEAR} THEN 0 ELSE 1 END AS opens FROM lines),
+clustered AS (SELECT *, sum(opens) OVER (PARTITION BY r, tid ORDER BY diagonal) AS cluster FROM opened),
+merged AS (SELECT r, tid, label, is_base, grams, length, cluster,
+    count(*) FILTER (n = grams) AS places, min(diagonal) FILTER (n = grams) AS first,
+    max(diagonal) FILTER (n = grams) AS last, min(low) AS low, max(high) AS high
+    FROM clustered GROUP BY r, tid, label, is_base, grams, length, cluster),
+covered AS (SELECT c.r, c.tid, c.cluster, count(DISTINCT f.place) AS n FROM clustered c
+    JOIN found f ON f.r = c.r AND f.tid = c.tid AND f.diagonal = c.diagonal GROUP BY 1, 2, 3),
+judged AS (SELECT m.*, n::DOUBLE / grams AS coverage, CASE WHEN is_base THEN places > 0 ELSE places > 0
+    OR (n >= {COVERAGE} * grams AND n >= {VOTES} AND high + {K} - low <= {STRETCHED} * length) END AS ok
+    FROM merged m JOIN covered USING (r, tid, cluster)),
+by_text AS (SELECT r, sum(places) FILTER (is_base AND ok) AS n_base,
+    min(first) FILTER (is_base AND ok) AS first_word, max(last) FILTER (is_base AND ok) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base AND ok) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok) AS labels, max(coverage) AS score
+    FROM judged GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+    first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+    coalesce(score, 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN by_text USING (r)
+"""
+
+ORACLES["op9_licence_scan"] = OP9

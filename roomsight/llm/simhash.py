@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import fresh, per_row
+from .common import fresh, map_arrow, per_row
 
 SHINGLE = 4
 DISTANCE = 4
@@ -209,7 +209,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP_ROWS
         if held:
             yield solve(*(np.concatenate(x) for x in zip(*kept)))
 
-    return placed.mapInArrow(run, "fp long, other long")
+    return map_arrow(placed, run, "fp long, other long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from .common import per_row
+from .common import map_arrow, per_row
 
 LIMIT = 16
 STRIDE = 256
@@ -228,7 +228,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
     # One row per id in use, at most 65,536.
-    counted = (ids.select("b0", "b1", "b2").mapInArrow(tally, "id long, n long").groupBy("id")
+    counted = (map_arrow(ids.select("b0", "b1", "b2"), tally, "id long, n long").groupBy("id")
                .agg(F.sum("n").alias("n")).limit((1 << LIMIT) + 1).collect())
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
     for r in counted:
@@ -267,8 +267,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*made[i:i + 64]), kinds)], names=names)
 
-    ids.select("doc_id", "part", "seq", "n", "b0", "b1", "b2").mapInArrow(
-        blocks, "part int, first long, doc_ids array<long>, sizes array<long>, payload binary, "
+    map_arrow(
+        ids.select("doc_id", "part", "seq", "n", "b0", "b1", "b2"), blocks, "part int, first long, doc_ids array<long>, sizes array<long>, payload binary, "
                 "marks array<long>").write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -304,8 +304,8 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
 
     blocks = spark.read.parquet(f"{path}/blocks").select(
         "part", "first", "doc_ids", "sizes", "payload", "marks")
-    return blocks.mapInArrow(decode, "part int, seq long, doc_id long, n_tokens long, "
-                             + ("ids_crc32 long" if digest else "ids array<long>"))
+    return map_arrow(blocks, decode, "part int, seq long, doc_id long, n_tokens long, "
+                     + ("ids_crc32 long" if digest else "ids array<long>"))
 
 
 def report(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
