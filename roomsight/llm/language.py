@@ -120,17 +120,18 @@ class Languages:
         width = self.table.shape[1]
         flat = self.table.reshape(-1)
         state = np.tile(self.roots, (len(owner), 1))
-        n = np.ones((len(owner), len(self.names)))
+        n = np.zeros((len(owner), len(self.names)))
         for step in range(int(size[0])):
             alive = int(np.searchsorted(-size, -step, side="left"))
             c = everything[start[:alive] + step][:, None]
-            to = flat[state[:alive] * width + c]
+            at = state[:alive]
+            to = flat[at * width + c]
             stop = to < 0
+            n[:alive] += stop | (at == self.roots)
             if stop.any():
                 # The phrase ends before this letter, which begins the next one; a letter that
                 # the language does not have is a phrase of its own.
                 again = flat[self.roots[None, :] * width + c]
-                n[:alive] += stop
                 to = np.where(stop, np.where(again < 0, self.roots[None, :], again), to)
             state[:alive] = to
         np.add.at(count, owner, n)

@@ -35,7 +35,7 @@ PLACES = (-2, -1, 1, 2)
 MASKED = 0.1
 ROUNDS = 2
 GROUPS = 32
-BATCH = 2048
+BATCH = 1024
 CLASSES = HEAD + TAIL
 PAD = CLASSES
 
@@ -210,7 +210,8 @@ def _blocks(batch_codes: list[bytes], most: int = 100_000) -> Iterator[tuple[int
         at = end
 
 
-def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED) -> dict[str, np.ndarray]:
+def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED,
+          size: int = BATCH) -> dict[str, np.ndarray]:
     """Parameters after ``rounds`` averages over all tasks; the start values without any word."""
     p = start_parameters()
     for number in range(rounds):
@@ -227,8 +228,8 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED) -> d
                         continue
                     rng.shuffle(pick)
                     context = contexts(codes, length)
-                    for i in range(0, len(pick), BATCH):
-                        trainer.step(context[pick[i:i + BATCH]], codes[pick[i:i + BATCH]])
+                    for i in range(0, len(pick), size):
+                        trainer.step(context[pick[i:i + size]], codes[pick[i:i + size]])
                     seen += len(pick)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part]), pa.array([seen]), pa.array([_pack(trainer.p).tobytes()])],
@@ -274,11 +275,11 @@ def score(encoded: DataFrame, p: dict[str, np.ndarray]) -> DataFrame:
 
 
 def report(docs: DataFrame, listed: int = LISTED, rounds: int = ROUNDS,
-           masked: float = MASKED) -> DataFrame:
+           masked: float = MASKED, size: int = BATCH) -> DataFrame:
     """doc_id, n_words, log_likelihood (summed) and per_word (mean; NULL without words).
 
     NULL, empty and wordless texts have no words and likelihood 0. Repeated rows count and are
     scored each. An empty table gives no rows. Extra columns are not read.
     """
     encoded = encode(docs, vocabulary(docs, listed))
-    return score(encoded, train(encoded, rounds, masked))
+    return score(encoded, train(encoded, rounds, masked, size))

@@ -1,12 +1,14 @@
 """Toxicity by ordinal regression: severity grades from sparse text features.
 
-A cumulative-link model: the score ``f = sum of weights * ln(1 + count)`` over known words is
+A cumulative-link model: the score ``f = sum of weights * (1 + ln count)`` over known words is
 shared by all thresholds, ``P(grade >= k) = sigmoid(f - t_k)`` with ``t_1 < t_2 < ...``, and the
 expected severity is the sum of these probabilities.
 
 The model is learned from at most ``fit_rows`` labelled rows (half of them from either side of
-grade 0, taken in hash order and weighted back to their share) and ``max_words`` words. Scoring
-is one pass over whole texts without an exchange.
+grade 0, taken in hash order and weighted back to their share). Features are words and
+word beginnings whose presence depends on the label beyond chance (chi-square at least ``LEAST_CHI2``), the
+``max_words`` strongest at most; others could only repeat what single rows happen to be labelled.
+Scoring is one pass over whole texts without an exchange.
 """
 
 from __future__ import annotations
@@ -23,28 +25,58 @@ from .common import fold, fresh, per_row, byte_words, uniform, words
 FIT_ROWS = 20_000
 MAX_WORDS = 20_000
 MIN_DOCUMENTS = 4
+LEAST_CHI2 = 15.0
+BEGINNINGS = (4, 5, 6, 8)
+SEEN = 300_000
 FOLDS = 5
 
 
+def features_of(word: bytes) -> list[bytes]:
+    """The word and its beginnings, marked as such, so that inflected forms share features."""
+    return [word, *[b"^" + word[:n] for n in BEGINNINGS if len(word) >= n]]
+
+
+class Known:
+    """The features of words that are in a given set, remembered word by word."""
+
+    def __init__(self, known):
+        self.known, self.seen = known, {}
+
+    def __call__(self, text: bytes | None) -> Counter:
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        seen, hits = self.seen, Counter()
+        for w in byte_words(text):
+            found = seen.get(w)
+            if found is None:
+                found = seen[w] = tuple(f for f in features_of(w) if f in self.known)
+            if found:
+                hits.update(found)
+        return hits
+
+
 @dataclass(frozen=True)
 class Severity:
-    """A fitted model: weight of each known word, and the ascending thresholds."""
+    """A fitted model: weight of each feature, and the ascending thresholds."""
 
     weights: dict[bytes, float]
     thresholds: tuple[float, ...]
 
-    def score(self, texts: list[bytes | None]) -> list[tuple[float, float, int]]:
-        """(P(grade >= 1), expected severity, likeliest grade by the 0.5 mark) of each text."""
-        found, cuts = self.weights, np.array(self.thresholds)
-        f = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            hits = Counter([w for w in byte_words(text) if w in found])
-            f[i] = sum(found[w] * np.log1p(n) for w, n in sorted(hits.items()))
-        if not len(cuts):
-            return [(0.0, 0.0, 0)] * len(texts)
-        over = _sigmoid(f[:, None] - cuts[None, :])
-        return list(zip(over[:, 0].tolist(), over.sum(1).tolist(),
-                        (over >= 0.5).sum(1).tolist()))
+    def scorer(self):
+        """A function giving (P(grade >= 1), expected severity, likeliest grade by the 0.5 mark)
+        of each text of a list."""
+        weights, cuts, known = self.weights, np.array(self.thresholds), Known(self.weights)
+
+        def score(texts: list[bytes | None]) -> list[tuple[float, float, int]]:
+            f = np.array([sum(weights[w] * (1 + np.log(n)) for w, n in sorted(known(t).items()))
+                          for t in texts])
+            if not len(cuts):
+                return [(0.0, 0.0, 0)] * len(texts)
+            over = _sigmoid(f[:, None] - cuts[None, :])
+            return list(zip(over[:, 0].tolist(), over.sum(1).tolist(),
+                            (over >= 0.5).sum(1).tolist()))
+
+        return score
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -53,7 +85,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def train(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray,
           weights: np.ndarray, width: int, steps: int = 150, rate: float = 0.1,
-          ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+          ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients and thresholds of a cumulative-link model by Adam over all rows.
 
     The features are triples (row, column, value). Thresholds are kept in order by learning the
@@ -119,52 +151,76 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fit_rows: in
             .agg(F.min("text").alias("text")))
 
 
+def _chi2(positive: int, other: int) -> Column:
+    """Chi-square of a word's documents (``n``, of which ``positive``) against the label."""
+    n, a = F.col("n").cast("double"), F.col("positive").cast("double")
+    total = float(positive + other)
+    return total * F.pow(a * other - (n - a) * positive, 2) / (
+        n * F.greatest(total - n, F.lit(0.5)) * float(positive) * float(other))
+
+
 def fit(sample: DataFrame, max_words: int = MAX_WORDS,
         min_documents: int = MIN_DOCUMENTS) -> Severity:
     """Learn from (doc_id, text, label, share), the label a grade from 0.
 
     Where all positive labels are 1, severity is graded from the texts: a positive document is
-    graded by its occurrences of marker words, those in 1 % or more of the positive documents
-    and in no other: up to one occurrence 1, up to four 2, beyond 3. Without positive or
+    graded by the most occurrences of one marker, a feature of 1 % or more of the positive
+    documents and of no other: up to one 1, up to three 2, beyond 3. Without positive or
     without other rows the model gives 0 to every text.
     """
-    sample = cut_lineage(sample.select("doc_id", "label", "share", words(F.col("text")).alias("w")))
+    sample = cut_lineage(sample.select("doc_id", "label", "share", "text"))
     sides = {r[0]: r[1] for r in sample.groupBy((F.col("label") > 0).alias("p"))
              .agg(F.count(F.lit(1))).collect()}
     if len(sides) < 2:
         return Severity({}, ())
-    known = (sample.select((F.col("label") > 0).cast("int").alias("p"),
-                           F.explode(F.array_distinct("w")).alias("w")).groupBy("w")
-             .agg(F.sum("p").alias("positive"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= min_documents)
-             .orderBy(F.desc("n"), "w").limit(max_words).collect())
-    index = {r["w"]: i for i, r in enumerate(known)}
-    marks = {i for i, r in enumerate(known)
-             if r["positive"] == r["n"] and r["positive"] >= max(min_documents, 0.01 * sides[True])}
-
-    def features():
+
+    def distinct():
+        return lambda columns: [(sorted({f for w in set(byte_words(t)) for f in features_of(w)}),)
+                                for t in columns[0]]
+
+    seen = per_row(sample, "f array<binary>", distinct, ["text"], ["label"])
+    known = (seen.select((F.col("label") > 0).cast("int").alias("p"), F.explode_outer("f").alias("w"))
+             .groupBy("w").agg(F.sum("p").alias("positive"), F.count(F.lit(1)).alias("n"))
+             .where(F.col("w").isNotNull() & (F.col("n") >= min_documents))
+             .withColumn("chi2", _chi2(sides[True], sides[False]))
+             .where(F.col("chi2") >= LEAST_CHI2)
+             .orderBy(F.desc("chi2"), "w").limit(max_words).collect())
+    index = {bytes(r["w"]): i for i, r in enumerate(known)}
+    marks = {i for w, i in index.items() if known[i]["positive"] == known[i]["n"]
+             and known[i]["n"] >= max(min_documents, 0.01 * sides[True])}
+
+    def counts():
+        found = Known(index)
+
         def work(columns):
             out = []
-            for ws in columns[0]:
-                hits = Counter(index[w] for w in ws if w in index)
-                out.append((list(hits), list(hits.values())))
+            for text in columns[0]:
+                hits = found(text)
+                out.append(([index[f] for f in hits], list(hits.values())))
             return out
         return work
 
-    rows = sorted(per_row(sample, "ids array<int>, counts array<int>", features, ["w"],
+    rows = sorted(per_row(sample, "ids array<int>, counts array<int>", counts, ["text"],
                           ["doc_id", "label", "share"]).collect(), key=lambda r: r["doc_id"])
     grades = np.array([r["label"] for r in rows])
     if grades.max() == 1:
-        marked = np.array([sum(c for i, c in zip(r["ids"], r["counts"]) if i in marks)
+        marked = np.array([max((c for i, c in zip(r["ids"], r["counts"]) if i in marks), default=0)
                            for r in rows])
-        grades = np.where(grades == 0, 0, 1 + (marked > 1) + (marked > 4))
+        grades = np.where(grades == 0, 0, 1 + (marked > 1) + (marked > 3))
         grades = np.unique(grades, return_inverse=True)[1]
     sizes = [len(r["ids"]) for r in rows]
     beta, cuts = train(np.repeat(np.arange(len(rows)), sizes),
                        np.concatenate([np.array(r["ids"], int) for r in rows]),
-                       np.log1p(np.concatenate([np.array(r["counts"], float) for r in rows])),
+                       1 + np.log(np.concatenate([np.array(r["counts"], float) for r in rows])),
                        grades, np.array([1 / r["share"] for r in rows]), len(index))
-    return Severity({r["w"].encode(): float(b) for r, b in zip(known, beta)}, tuple(cuts.tolist()))
+    return Severity({w: float(beta[i]) for w, i in index.items()}, tuple(cuts.tolist()))
+
+
+def _work(model: Severity):
+    def make():
+        score = model.scorer()
+        return lambda columns: score(columns[0])
+    return make
 
 
 def score(docs: DataFrame, model: Severity, keep: list[str] | None = None) -> DataFrame:
@@ -174,8 +230,7 @@ def score(docs: DataFrame, model: Severity, keep: list[str] | None = None) -> Da
     of ``docs`` are read only if kept; a kept name that clashes is the caller's to rename.
     """
     return per_row(docs, "p_toxic double, severity double, grade int",
-                   lambda: (lambda columns: model.score(columns[0])), ["text"],
-                   ["doc_id"] if keep is None else keep)
+                   _work(model), ["text"], ["doc_id"] if keep is None else keep)
 
 
 def reject(docs: DataFrame, model: Severity, least: float = 0.5) -> DataFrame:
@@ -184,7 +239,7 @@ def reject(docs: DataFrame, model: Severity, least: float = 0.5) -> DataFrame:
     text, plain = fresh(docs, "_text"), [f"_c{i}" for i in range(len(names))]
     inner = docs.toDF(*plain).withColumn(text, F.col(plain[names.index("text")]))
     scored = per_row(inner, "p_toxic double, severity double, grade int",
-                     lambda: (lambda columns: model.score(columns[0])), [text], plain)
+                     _work(model), [text], plain)
     return scored.where(F.col("p_toxic") < least).select(*plain).toDF(*names)
 
 

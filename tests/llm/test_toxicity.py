@@ -1,0 +1,86 @@
+import random
+
+import numpy as np
+import pytest
+
+from llm_rows import CLASHING, frame, invented
+from roomsight.llm import toxicity as T
+
+BAD = ["grumble", "snarl", "hiss"]
+
+
+def test_gradient_descends_to_an_ordered_model():
+    r = np.random.default_rng(1)
+    n, width = 1500, 6
+    x = r.poisson(0.7, (n, width)).astype(float)
+    beta = np.array([2.0, 1.5, 0, 0, -1.0, 0])
+    grades = (x @ beta + r.logistic(size=n))[:, None] > np.array([1.0, 3.0, 5.0])
+    grades = grades.sum(1)
+    rows, cols = np.nonzero(x)
+    got, cuts = T.train(rows, cols, x[rows, cols], grades, np.ones(n), width, steps=600)
+    assert (np.diff(cuts) > 0).all()
+    assert np.allclose(got, beta, atol=0.4) and np.allclose(cuts, [1, 3, 5], atol=0.5)
+
+    def loss(b, c):
+        p = 1 / (1 + np.exp(-(x @ b)[:, None] + c))
+        edges = np.hstack([np.ones((n, 1)), p, np.zeros((n, 1))])
+        return -np.log(edges[np.arange(n), grades] - edges[np.arange(n), grades + 1]).mean() + (b @ b) * 5e-4
+
+    best = loss(got, cuts)
+    for i in range(width):
+        for d in (-0.05, 0.05):
+            assert loss(got + d * np.eye(width)[i], cuts) > best - 1e-4
+    for i in range(3):
+        for d in (-0.05, 0.05):
+            assert loss(got, cuts + d * np.eye(3)[i]) > best - 1e-4
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    r, rows, labels = random.Random(2), [], []
+    for i, text in enumerate(invented(500, 50, seed=6)):
+        ws = text.split()
+        hits = r.choice([0, 0, 0, 1, 3, 8])
+        for _ in range(hits):
+            ws.insert(r.randrange(len(ws)), r.choice(BAD).upper())
+        rows.append((i, " ".join(ws), "en", "s", 0, *CLASHING))
+        labels.append((i, 1, int(hits > 0), hits))
+    return frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, hits int")
+
+
+def test_held_out_rows(spark, corpus):
+    docs, labels = corpus
+    model = T.learn(docs, labels)
+    assert len(model.thresholds) == 3 and list(model.thresholds) == sorted(model.thresholds)
+    got = {r["doc_id"]: r for r in T.report(docs, model).collect()}
+    toxic = {r["doc_id"]: r for r in labels.collect()}
+    held = [i for i, r in got.items() if r["held_out"]]
+    assert len(got) == 500 and np.mean([got[i]["rejected"] == (toxic[i]["toxic"] == 1) for i in held]) > 0.96
+    mean = [np.mean([got[i]["severity"] for i in held if toxic[i]["hits"] == h]) for h in (0, 1, 3, 8)]
+    assert mean == sorted(mean) and mean[0] < 0.2 and mean[3] > 2
+    kept = T.reject(docs, model)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {i for i, r in got.items() if not r["rejected"]}
+
+
+def test_given_grades(spark, corpus):
+    docs, labels = corpus
+    graded = labels.selectExpr("doc_id", "case when hits = 0 then 0 when hits < 3 then 1 else 2 end grade")
+    model = T.fit(T.labelled_sample(docs, graded, "grade"))
+    assert len(model.thresholds) == 2
+
+
+def test_sample_is_bounded(spark, corpus):
+    docs, labels = corpus
+    assert T.labelled_sample(docs, labels, "toxic", 40).count() < 90
+    repeated = docs.unionByName(docs)
+    assert T.labelled_sample(repeated, labels, "toxic").count() == 500
+
+
+def test_messy(spark, messy, messy_rows, nothing, labels, no_labels):
+    for known in (labels, no_labels):
+        model = T.learn(messy, known)
+        got = T.report(messy, model).collect()
+        assert len(got) == len(messy_rows) and all(0 <= r["p_toxic"] <= 1 for r in got)
+        assert T.reject(messy, model).columns == messy.columns
+    assert T.report(nothing, T.learn(nothing, labels)).count() == 0
