@@ -53,31 +53,36 @@ FIX_TEMPERATURE = ("CASE WHEN temperature < 10 OR temperature > 40 THEN (SELECT
                    " FROM {src} WHERE temperature BETWEEN 10 AND 40) ELSE temperature END"
                    " AS temperature")
 
+GROUP_MODE = """(SELECT time_of_day, ambient_light AS m FROM (
+    SELECT time_of_day, ambient_light, row_number() OVER (PARTITION BY time_of_day
+      ORDER BY count(*) DESC, ambient_light) AS rn
+    FROM {src} WHERE ambient_light IS NOT NULL GROUP BY time_of_day, ambient_light) WHERE rn = 1)"""
+
 EAGER = f"""{LABELLED},
 c3 AS (SELECT * REPLACE ({FIX_TEMPERATURE.format(src='lab')}) FROM lab),
 c4 AS (SELECT * REPLACE ({fill_median(K.MEDIAN_FILLED, 'c3')}) FROM c3),
 c5 AS (SELECT * REPLACE ({fix_negative(K.NEGATIVE_REPAIRED, 'c4')}) FROM c4),
 c6 AS (SELECT * REPLACE (coalesce(ambient_light, {MODE_LIGHT.format(src='c5')})
        AS ambient_light) FROM c5),
-cleaned AS (SELECT DISTINCT * FROM c6)"""
-
-GROUP_MODE = """(SELECT time_of_day, ambient_light AS m FROM (
-    SELECT time_of_day, ambient_light, row_number() OVER (PARTITION BY time_of_day
-      ORDER BY count(*) DESC, ambient_light) AS rn
-    FROM {src} WHERE ambient_light IS NOT NULL GROUP BY time_of_day, ambient_light) WHERE rn = 1)"""
+c7 AS (SELECT DISTINCT * FROM c6),
+cleaned AS (SELECT c7.* REPLACE (CASE WHEN time_of_day IS NOT NULL
+    THEN coalesce(ambient_light, g.m) END AS ambient_light)
+  FROM c7 LEFT JOIN {GROUP_MODE.format(src='c7')} g USING (time_of_day))"""
 
 DEFERRED = f"""{LABELLED},
 d3 AS (SELECT * REPLACE ({FIX_TEMPERATURE.format(src='lab')}) FROM lab),
 d5 AS (SELECT * REPLACE ({fix_negative(K.NEGATIVE_REPAIRED, 'd3')}) FROM d3),
 d6 AS (SELECT DISTINCT * FROM d5),
 d7 AS (SELECT * REPLACE ({fill_median(K.MEDIAN_FILLED, 'd6')}) FROM d6),
-cleaned AS (SELECT d7.* REPLACE (coalesce(ambient_light, g.m) AS ambient_light)
+cleaned AS (SELECT d7.* REPLACE (CASE WHEN time_of_day IS NOT NULL
+    THEN coalesce(ambient_light, g.m) END AS ambient_light)
   FROM d7 LEFT JOIN {GROUP_MODE.format(src='d7')} g USING (time_of_day))"""
 
 
 def group_median(columns, src: str) -> str:
     meds = ", ".join(f"median({c}) AS m_{c}" for c in columns)
-    fill = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in columns)
+    fill = ", ".join(f"CASE WHEN time_of_day IS NOT NULL THEN coalesce({c}, m_{c}) END AS {c}"
+                     for c in columns)
     drop = ", ".join(f"m_{c}" for c in columns)
     return (f"SELECT s.* EXCLUDE ({drop}) REPLACE ({fill}) FROM (SELECT * FROM {src} LEFT JOIN "
             f"(SELECT time_of_day, {meds} FROM {src} GROUP BY 1) USING (time_of_day)) s")
@@ -211,7 +216,7 @@ ORACLES["negative_to_median_customer"] = f"""WITH x AS (SELECT * REPLACE (
 ORACLES["impute_mode"] = f"""WITH {RAW} SELECT reading_id,
   coalesce(ambient_light, {MODE_LIGHT.format(src='r')}) AS ambient_light FROM r"""
 ORACLES["impute_group_mode"] = f"""WITH {RAW} SELECT reading_id,
-  coalesce(ambient_light, g.m) AS ambient_light
+  CASE WHEN time_of_day IS NOT NULL THEN coalesce(ambient_light, g.m) END AS ambient_light
   FROM r LEFT JOIN {GROUP_MODE.format(src='r')} g USING (time_of_day)"""
 ORACLES["impute_group_median"] = f"""WITH {RAW}, x AS ({group_median(K.SANITISED, 'r')})
   SELECT reading_id, {columns(K.SANITISED)} FROM x"""
@@ -547,6 +552,8 @@ ORACLES["confusion"] = f"""WITH {RULED} SELECT target::DOUBLE AS label, guess::D
 # --- sources and sinks, training rows ------------------------------------------------------------------------
 
 ORACLES["csv_roundtrip"] = ORACLES["clean_eager"]
+ORACLES["csv_roundtrip_documents"] = ("SELECT doc_id, nullif(text, '') AS text, "
+                                      "nullif(lang, '') AS lang, nullif(source, '') AS source FROM documents")
 ORACLES["parquet_roundtrip"] = f"WITH {RAW} SELECT {columns(ALL_BUT_TS)} FROM r"
 ORACLES["training_rows"] = f"""WITH {UNIQUE_ENC}, {ranked('ue', 'reading_id', 'target')},
   {test_sizes('target')} SELECT rk <= n_test AS is_test, target::DOUBLE AS label, count(*) AS n

@@ -654,6 +654,15 @@ def csv_roundtrip(spark, folder):
     return files.read_csv(spark, path, cleaned.schema)
 
 
+@query
+def csv_roundtrip_documents(spark, folder):
+    """Texts with blanks, quotes and line breaks written as CSV and read back."""
+    df = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    path = scratch_path(spark, "documents-csv")
+    files.write_csv(df, path)
+    return files.read_csv(spark, path, df.schema)
+
+
 @query
 def parquet_roundtrip(spark, folder):
     """Readings bound by their source names, written as Parquet, and read back."""

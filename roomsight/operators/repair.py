@@ -113,11 +113,12 @@ def null_outside(df: DataFrame,
 def dedupe(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:
     """One row per group of equal rows, missing equal to missing.
 
-    ``ignore`` names columns left out of the comparison (a row number); their smallest
-    value is kept.
+    ``ignore`` names columns left out of the comparison (a row number); the row with the
+    smallest values of them, compared in the order given, is kept.
     """
     ignore = ignore or []
     keys = [c for c in df.columns if c not in ignore]
     if not ignore:
         return df.dropDuplicates()
-    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in ignore]).select(*df.columns)
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*ignore)).alias("_kept"))
+    return kept.select(*[F.col(f"_kept.{c}") if c in ignore else F.col(c) for c in df.columns])

@@ -20,7 +20,9 @@ def standardise_labels(df: DataFrame) -> DataFrame:
 
 def clean_eager(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:
     """Each step sees the one before: outliers and missing numbers take the global median,
-    then negatives the median of the rest, missing light the mode; copies go last.
+    then negatives the median of the rest, missing light the mode; then copies go, and light
+    is filled by time of day. No light is missing by then, so all that last step does is to
+    take the light from rows without a time of day, for which a grouped step has no result.
 
     Independent medians share one call, so the fits are narrow scans of a few columns.
     The only exchange of whole rows is the one that removes copies.
@@ -38,7 +40,9 @@ def clean_eager(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:
 
     filled, light = together(df.sparkSession, numbers,
                              lambda: repair.fit_missing_to_mode(df, ["ambient_light"]))
-    return repair.dedupe(light.transform(filled), ignore)
+    unique = repair.dedupe(light.transform(filled), ignore)
+    return unique.withColumn("ambient_light", F.when(F.col("time_of_day").isNotNull(),
+                                                     F.col("ambient_light")))
 
 
 def clean_deferred(df: DataFrame, ignore: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from roomsight import constants as K
 from roomsight.functions import moments, scalar as S
 from roomsight.operators import (density, encode, evaluate, quality, quantiles, repair, scale,
                                  split, statistics as T, windows as W)
+from roomsight.plans import clean
 
 KEYED = [(1, "a", 1.0), (2, "a", None), (3, None, 5.0), (4, "b", 2.0), (5, "b", None)]
 
@@ -142,6 +143,20 @@ def test_dedupe_keeps_first_of_an_ignored_column(spark):
     assert sorted((r["seq"], r["v"]) for r in kept.collect()) == [(1, "a"), (2, None)]
 
 
+def test_dedupe_keeps_a_row_that_was_there(spark):
+    df = spark.createDataFrame([("k", 1, 9), ("k", 2, 3)], "v string, a int, b int")
+    assert [tuple(r) for r in repair.dedupe(df, ["a", "b"]).collect()] == [("k", 1, 9)]
+    assert [tuple(r) for r in repair.dedupe(df, ["b", "a"]).collect()] == [("k", 2, 3)]
+
+
+def test_eager_cleaning_has_no_light_without_a_time_of_day(raw):
+    bare = raw.withColumn("time_of_day", F.when(F.col("reading_id") % 7 > 0, F.col("time_of_day")))
+    made = clean.clean_eager(bare)
+    assert made.where("time_of_day IS NULL").count() > 0
+    assert made.where("time_of_day IS NULL AND ambient_light IS NOT NULL").isEmpty()
+    assert made.where("time_of_day IS NOT NULL AND ambient_light IS NULL").isEmpty()
+
+
 def test_pairwise_pearson(spark):
     df = spark.createDataFrame([(1.0, 2.0, 7.0), (2.0, None, 7.0), (None, 3.0, 7.0),
                                 (4.0, 9.0, 7.0)], "a double, b double, c double")

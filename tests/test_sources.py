@@ -68,6 +68,16 @@ def test_csv(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
 
 
+def test_csv_keeps_texts_as_they_are(spark, tmp_path):
+    texts = ["  a b ", "two\nlines", "cr\r\nlf", "bare\rcr", 'say "x", \\ and \\"', "", " ", '"', "\t",
+             "\n", None, "ü,é", "#c", "\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    path = str(tmp_path / "texts")
+    files.write_csv(df, path)
+    back = files.read_csv(spark, path, df.schema)
+    assert [r["t"] for r in back.orderBy("i").collect()] == [t or None for t in texts]
+
+
 def test_params(spark, tmp_path):
     files.save_params(spark, {"C": 0.1, "depth": None}, str(tmp_path), "Random Forest")
     assert (tmp_path / "Random_Forest_best_params").exists()
