@@ -6,8 +6,9 @@ columns concerned, each with a small shuffle:
 
 1. sketches, merged in up to 256 tasks per group, give an interval that holds the quantile;
 2. the interval is cut into 4,096 cells and the rows per cell and between intervals counted;
-3. only the values of the cells that hold the wanted ranks are counted and ranked: for all
-   distinct values, about two in a million rows.
+3. only the values of the cells that hold the wanted ranks are counted and ranked: for evenly
+   spread distinct values, about two in a million rows. Cells have equal width, so where values
+   of an interval crowd together (a far outlier, two clusters) a cell may hold most of them.
 """
 
 from __future__ import annotations
