@@ -15,8 +15,11 @@ Decoding looks 16 bits up in a table of (id, length) and walks all marks of a ba
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,36 +35,57 @@ STRIDE = 256
 BLOCK_IDS = 65_536
 END_ID = 1
 CACHE = 800_000
+PIECES = 400_000
+#: Fixed value: the pattern of the word tokenizer.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of ASCII and Latin letters that are their own normal form and lower-cased alike by all.
+SIMPLE = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+")
+LETTERS = r"a-z\u00DF-\u00F6\u00F8-\u017F"
+_shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+#: The symbol of each byte that has none of its own: 256 and on, in order of the bytes.
+SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _shown)}
 
 _loaded: dict = {}
 
 
-def _tokenizer(path: str):
-    """The tokenizer and the ids of texts between blanks seen so far, one for a worker process."""
-    if path not in _loaded:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(path)
-        _loaded[path] = t, {}, t.encode("\x00", add_special_tokens=False).ids
-    return _loaded[path]
-
-
-def _learn(path: str, fresh: list[bytes]) -> None:
-    """Encode texts without blanks, many at a time with a separator between them."""
-    t, cache, mark = _tokenizer(path)
-    if len(cache) > CACHE:
-        cache.clear()
-    plain = [w for w in fresh if b"\x00" not in w and b"<|" not in w] if len(mark) == 1 else []
-    for i in range(0, len(plain), 2000):
-        part = plain[i:i + 2000]
-        ids = np.array(t.encode_batch_fast([" \x00 ".join(w.decode() for w in part)],
-                                           add_special_tokens=False)[0].ids, np.uint32)
-        found = np.split(ids, np.flatnonzero(ids == mark[0]))
-        for j, (w, x) in enumerate(zip(part, found)):
-            cache[w] = x[j > 0:].tobytes()
-    for w in set(fresh) - set(plain):
-        cache[w] = np.array(t.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
+def _pieces_of(tokenizer) -> re.Pattern | None:
+    """How lower-cased ``SIMPLE`` texts fall apart before any merge, where the tokenizer is of
+    that kind."""
+    kind = json.loads(tokenizer.to_str())
+    normal = [n["type"] for n in (kind.get("normalizer") or {}).get("normalizers", [])]
+    cut = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if (normal == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cut] == ["Split", "ByteLevel"]
+            and cut[0]["pattern"] == {"Regex": WORD_PATTERN} and not cut[1]["add_prefix_space"]):
+        return re.compile(WORD_PATTERN.replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9"))
+    return None
+
+
+class Parts(dict):
+    """Ids of texts without blanks, as bytes, found when first asked for and then remembered:
+    ``SIMPLE`` ones by their pieces, others whole."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        self.pattern, self.pieces = _pieces_of(tokenizer), {}
+
+    def __missing__(self, part: bytes) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        text = part.decode()
+        if self.pattern is None or not SIMPLE.fullmatch(text) or "<|" in text:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        else:
+            ids = b"".join([self.pieces.get(x) or self.piece(x)
+                            for x in self.pattern.findall(text.lower())])
+        self[part] = ids
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        if len(self.pieces) >= PIECES:
+            self.pieces.clear()
+        symbols = text if text.isascii() else text.encode().decode("latin-1").translate(SYMBOLS)
+        ids = self.pieces[text] = array("I", [m.id for m in self.merge(symbols)]).tobytes()
+        return ids
 
 
 def encode_texts(path: str, texts: list[bytes | None]) -> list[np.ndarray]:
@@ -70,16 +94,13 @@ def encode_texts(path: str, texts: list[bytes | None]) -> list[np.ndarray]:
     The tokenizer makes no token across white space, so the ids of a text are those of its parts
     between blanks, and parts that repeat are encoded once in a worker.
     """
-    _, cache, _ = _tokenizer(path)
-    parts = [t.split() if t else [] for t in texts]
-    fresh = set().union(*parts) - cache.keys()
-    if fresh:
-        # A text with more new parts than the cache holds still finds all of its own.
-        _learn(path, sorted(fresh))
-        missing = set().union(*parts) - cache.keys()
-        if missing:
-            _learn(path, sorted(missing))
-    return [np.frombuffer(b"".join([cache[w] for w in ws]), np.uint32) for ws in parts]
+    if path not in _loaded:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _loaded[path] = Parts(Tokenizer.from_file(path))
+    find = _loaded[path].__getitem__
+    return [np.frombuffer(b"".join(map(find, t.split())) if t else b"", np.uint32) for t in texts]
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
