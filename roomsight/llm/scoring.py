@@ -6,8 +6,8 @@ of its class times its share of the class. The frequent words are classes of the
 share classes by their last letters. Shares come from the counts of all words of all documents.
 
 The network is trained in numpy on all documents: in each round every task takes the current
-parameters through the masked words of its rows and the results are averaged by words seen
-(summed in 32 groups before the driver sees them). A score is the sum of the logarithms of all
+parameters through all words of its rows, each the target once, and the results are averaged by
+words seen (summed in 32 groups before the driver sees them). A score is the sum of the logarithms of all
 conditional probabilities of a text. Words become class numbers once, written to the shared
 folder, and rounds and scoring read those.
 """
@@ -32,7 +32,7 @@ TAIL = 64
 LISTED = 20_000
 HIDDEN = 24
 PLACES = (-2, -1, 1, 2)
-MASKED = 0.1
+MASKED = 1.0
 ROUNDS = 2
 GROUPS = 32
 BATCH = 1024
@@ -139,9 +139,13 @@ def contexts(codes: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def _forward(p: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    s = p["hidden"] + sum(p["embed"][j][context[:, j]] for j in range(len(PLACES)))
-    h = np.tanh(s)
-    logits = h @ p["out"] + p["bias"]
+    s = p["embed"][0].take(context[:, 0], axis=0)
+    for j in range(1, len(PLACES)):
+        s += p["embed"][j].take(context[:, j], axis=0)
+    s += p["hidden"]
+    h = np.tanh(s, out=s)
+    logits = h @ p["out"]
+    logits += p["bias"]
     logits -= logits.max(1, keepdims=True)
     return h, logits
 
@@ -155,7 +159,7 @@ def log_probabilities(p: dict, context: np.ndarray, target: np.ndarray) -> np.nd
 
 
 class Trainer:
-    """Adagrad over batches of masked words."""
+    """Adagrad over batches of target words."""
 
     def __init__(self, p: dict[str, np.ndarray], rate: float = 0.1):
         self.p, self.rate = {k: v.copy() for k, v in p.items()}, rate
@@ -165,18 +169,18 @@ class Trainer:
         p, n = self.p, len(target)
         h, z = _forward(p, context)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        z[np.arange(n), target] -= 1
-        z /= n
+        z *= 1 / (n * z.sum(1, keepdims=True))
+        z[np.arange(n), target] -= 1 / n
         grad = {"out": h.T @ z, "bias": z.sum(0)}
         back = (z @ p["out"].T) * (1 - h * h)
         grad["hidden"] = back.sum(0)
         embed = np.zeros_like(p["embed"])
         for j in range(len(PLACES)):
-            order = np.argsort(context[:, j], kind="stable")
-            c = context[order, j]
+            place = context[:, j].astype(np.uint8)  # one byte sorts by radix
+            order = np.argsort(place, kind="stable")
+            c = place[order]
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            embed[j][c[first]] = np.add.reduceat(back[order], first, axis=0)
+            embed[j][c[first]] = np.add.reduceat(back.take(order, axis=0), first, axis=0)
         grad["embed"] = embed
         for k, g in grad.items():
             self.sums[k] += g * g
@@ -212,7 +216,9 @@ def _blocks(batch_codes: list[bytes], most: int = 100_000) -> Iterator[tuple[int
 
 def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED,
           size: int = BATCH) -> dict[str, np.ndarray]:
-    """Parameters after ``rounds`` averages over all tasks; the start values without any word."""
+    """Parameters after ``rounds`` averages over all tasks; the start values without any word.
+
+    Every word is a target in every round; ``masked`` below 1 draws that share of them anew."""
     p = start_parameters()
     for number in range(rounds):
         now, current = number, p
@@ -259,8 +265,8 @@ def score(encoded: DataFrame, p: dict[str, np.ndarray]) -> DataFrame:
             for at, end, codes, length in _blocks(columns[0]):
                 lp = np.empty(len(codes))
                 context = contexts(codes, length)
-                for i in range(0, len(codes), 8192):
-                    lp[i:i + 8192] = log_probabilities(p, context[i:i + 8192], codes[i:i + 8192])
+                for i in range(0, len(codes), BATCH):
+                    lp[i:i + BATCH] = log_probabilities(p, context[i:i + BATCH], codes[i:i + BATCH])
                 stop = np.cumsum(length)
                 sums = np.concatenate([[0.0], np.cumsum(lp)])
                 total = sums[stop] - sums[stop - length]

@@ -65,6 +65,43 @@ def test_order_matters_after_training(spark):
     assert plain > -1.0 and mixed < plain - 0.5
 
 
+def test_every_word_is_a_target(spark, monkeypatch):
+    """With the registered parameters, each round takes each word as a target once."""
+    import inspect
+
+    used = {n: v.default for n, v in inspect.signature(S.report).parameters.items() if n != "docs"}
+    texts = invented(12, 90, seed=9, vocabulary=60)
+    docs = frame(spark, [(i, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
+    v = S.vocabulary(docs, used["listed"])
+    seen = []
+
+    class Part:
+        def partitionId(self):
+            return 0
+
+    class Counting(S.Trainer):
+        def step(self, context, target):
+            seen.extend(target.tolist())
+            super().step(context, target)
+
+    codes = [v.encode(t.encode())[0] for t in texts]
+    steps = []
+    monkeypatch.setattr(S, "Trainer", Counting)
+    monkeypatch.setattr(S.TaskContext, "get", lambda: Part())
+
+    def here(df, run, schema):
+        import pyarrow as pa
+        batch = pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["codes"])
+        steps.append(len(list(run(iter([batch])))))
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(S, "map_arrow", here)
+    S.train(S.encode(docs, v), used["rounds"], used["masked"], used["size"])
+    assert len(steps) == used["rounds"]
+    once = Counter(c for text in codes for c in text)
+    assert Counter(seen) == Counter({c: n * used["rounds"] for c, n in once.items()})
+
+
 def test_scores_by_brute_force(spark):
     texts = invented(6, 30, seed=7) + ["", "one"]
     docs = frame(spark, [(i, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
