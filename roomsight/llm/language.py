@@ -6,8 +6,9 @@ times the logarithm of the length learned from, per letter, estimate its entropy
 language, and the language with the fewest such normalised phrases wins.
 
 Texts are lower-cased, runs of anything but letters become one blank. Parsing runs in step over
-many stretches of ``STRETCH`` letters and all languages: one table lookup a letter. A phrase ends
-where a stretch ends, for every language alike.
+many stretches of ``STRETCH`` letters and all languages: one table lookup a letter, a binary search
+for letters beyond the ``TABLE_LETTERS`` most frequent. A phrase ends where a stretch ends, for every
+language alike.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ SAMPLES = 64
 TRAIN_CHARS = 60_000
 ALL_CHARS = 400_000
 MAX_LANGUAGES = 200
-MAX_LETTERS = 80
+TABLE_LETTERS = 80
 STRETCH = 1024
 FOLDS = 3
 HELD_OUT = 1
@@ -51,8 +52,8 @@ def normalise(text: bytes | None) -> np.ndarray:
     return np.where(letters, points, 32)[keep]
 
 
-def automaton(codes: np.ndarray, width: int) -> np.ndarray:
-    """Transitions (state, letter) of the suffix automaton of a sequence; -1 where there is none."""
+def transitions(codes: np.ndarray) -> list[dict[int, int]]:
+    """By state of the suffix automaton of a sequence, the state that each letter leads to."""
     following, link, length = [{}], [-1], [0]
     last = 0
     for c in codes.tolist():
@@ -78,27 +79,59 @@ def automaton(codes: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
+    return following
+
+
+def split(following: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A table of the transitions by letters below ``width`` (-1 where there is none), and rows
+    (state, letter, to) of the others."""
     table = np.full((len(following), width), -1, np.int32)
+    rest = []
     for state, out in enumerate(following):
         for c, to in out.items():
-            table[state, c] = to
-    return table
+            if c < width:
+                table[state, c] = to
+            else:
+                rest.append((state, c, to))
+    return table, np.array(rest, np.int64).reshape(-1, 3)
+
+
+def automaton(codes: np.ndarray, width: int) -> np.ndarray:
+    """Transitions (state, letter) of the suffix automaton of a sequence; -1 where there is none."""
+    return split(transitions(codes), width)[0]
 
 
 @dataclass(frozen=True)
 class Languages:
-    """Learned languages: their names, letters (code points, code 0 is any other), one table
-    of the transitions of all automata, the state each begins in, and the lengths learned from."""
+    """Learned languages: their names, letters (sorted code points) and codes (by frequency from
+    1; 0 is a letter of no language), the transitions of all automata, the state each begins in,
+    and the lengths learned from. Transitions by the first codes are in one table, those by
+    others in sorted ``keys`` (state times letters, plus code) with their ``targets``."""
 
     names: tuple[str, ...]
     letters: np.ndarray
+    numbers: np.ndarray
     table: np.ndarray
+    keys: np.ndarray
+    targets: np.ndarray
     roots: np.ndarray
     sizes: np.ndarray
 
     def codes(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
-        return np.where(self.letters[at] == points, at + 1, 0)
+        return np.where(self.letters[at] == points, self.numbers[at], 0)
+
+    def follow(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The states (sequence, language) after one more letter of each sequence, or -1."""
+        width = self.table.shape[1]
+        rare = np.flatnonzero(codes >= width) if len(self.keys) else ()
+        if not len(rare):
+            return self.table.reshape(-1)[state * width + codes[:, None]]
+        to = self.table.reshape(-1)[state * width + np.where(codes < width, codes, 0)[:, None]]
+        key = np.broadcast_to(state, to.shape)[rare] * (len(self.letters) + 1) + codes[rare, None]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        to[rare] = np.where(self.keys[at] == key, self.targets[at], -1)
+        return to
 
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """Phrases of each sequence under each language."""
@@ -117,21 +150,19 @@ class Languages:
         owner, start, size = np.array(owner), np.array(start), np.array(size)
         order = np.argsort(-size, kind="stable")
         owner, start, size = owner[order], start[order], size[order]
-        width = self.table.shape[1]
-        flat = self.table.reshape(-1)
         state = np.tile(self.roots, (len(owner), 1))
         n = np.zeros((len(owner), len(self.names)))
         for step in range(int(size[0])):
             alive = int(np.searchsorted(-size, -step, side="left"))
-            c = everything[start[:alive] + step][:, None]
+            c = everything[start[:alive] + step]
             at = state[:alive]
-            to = flat[at * width + c]
+            to = self.follow(at, c)
             stop = to < 0
             n[:alive] += stop | (at == self.roots)
             if stop.any():
                 # The phrase ends before this letter, which begins the next one; a letter that
                 # the language does not have is a phrase of its own.
-                again = flat[self.roots[None, :] * width + c]
+                again = self.follow(self.roots[None, :], c)
                 to = np.where(stop, np.where(again < 0, self.roots[None, :], again), to)
             state[:alive] = to
         np.add.at(count, owner, n)
@@ -175,20 +206,26 @@ def build(samples: dict[str, list[str]], train_chars: int = TRAIN_CHARS) -> Lang
         if total:
             learned[name] = np.concatenate(points)
     if not learned:
-        return Languages((), np.array([32], np.uint32), np.full((1, 2), -1, np.int32),
-                         np.zeros(0, np.int64), np.zeros(0))
-    seen, times = np.unique(np.concatenate(list(learned.values())), return_counts=True)
-    letters = np.sort(seen[np.lexsort((seen, -times))][:MAX_LETTERS])
-    whole = Languages((), letters, np.zeros((0, 0)), np.zeros(0), np.zeros(0))
-    tables, roots, base = [], [], 0
+        none = np.zeros(0, np.int64)
+        return Languages((), np.array([32], np.uint32), np.array([1]),
+                         np.full((1, 2), -1, np.int32), none, none, none, np.zeros(0))
+    letters, times = np.unique(np.concatenate(list(learned.values())), return_counts=True)
+    numbers = np.empty(len(letters), np.int64)
+    numbers[np.lexsort((letters, -times))] = np.arange(1, len(letters) + 1)
+    width = min(TABLE_LETTERS, len(letters)) + 1
+    tables, others, roots, base = [], [], [], 0
     for name in learned:
-        table = automaton(whole.codes(learned[name]), len(letters) + 1)
-        table[:, 0] = -1  # a letter beyond those listed never continues a phrase
+        table, rest = split(transitions(numbers[np.searchsorted(letters, learned[name])]), width)
         roots.append(base)
-        tables.append(np.where(table < 0, -1, table + base))
+        tables.append(np.where(table < 0, -1, table + base).astype(np.int32))
+        others.append(rest + [base, 0, base])
         base += len(table)
-    return Languages(tuple(learned), letters, np.concatenate(tables).astype(np.int32),
-                     np.array(roots), np.array([len(p) for p in learned.values()], float) + 1)
+    rest = np.concatenate(others)
+    keys = rest[:, 0] * (len(letters) + 1) + rest[:, 1]
+    order = np.argsort(keys)
+    return Languages(tuple(learned), letters, numbers, np.concatenate(tables), keys[order],
+                     rest[order, 2], np.array(roots),
+                     np.array([len(p) for p in learned.values()], float) + 1)
 
 
 def sample(docs: DataFrame, samples: int = SAMPLES) -> dict[str, list[str]]:

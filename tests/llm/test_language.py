@@ -52,6 +52,26 @@ def test_phrases(monkeypatch):
     assert got.tolist() == [[slow_phrases(a, t), slow_phrases(b, t)] for t in texts]
 
 
+def test_alphabets_of_any_size():
+    """Letters beyond the most frequent ones count as any other: by brute force, and for languages
+    whose alphabets share no letter."""
+    r = random.Random(8)
+    signs = [chr(0x4E00 + i) for i in range(1500)]
+    pairs = [r.choice(signs) + r.choice(signs) for _ in range(400)]
+    a = "".join(r.choice(pairs) for _ in range(3000))
+    b = "".join(r.choice(signs[:700]) for _ in range(6000))
+    latin = "".join(r.choice("abcdefghij ") for _ in range(6000)).strip()
+    model = L.build({"han": [a], "other": [b], "latin": [latin]})
+    learned = {n: "".join(chr(p) for p in L.normalise(x.encode()))
+               for n, x in (("han", a), ("other", b), ("latin", latin))}
+    texts = ["".join(r.choice(pairs) for _ in range(200)), "".join(r.choice(signs) for _ in range(200)),
+             "".join(r.choice("abcdefghij" + signs[5]) for _ in range(200))]
+    got = model.phrases([model.codes(L.normalise(t.encode())) for t in texts])
+    assert got.tolist() == [[slow_phrases(learned[n], t) for n in model.names] for t in texts]
+    assert len(np.unique(model.codes(L.normalise(a.encode())))) == len(set(a))
+    assert [x for x, _ in model.predict([texts[0].encode(), texts[2].encode()])] == ["han", "latin"]
+
+
 SYLLABLES = {"p": "ka to mi ra su ne".split(), "q": "erst ung ich der sch ein".split(),
              "r": "ção lhe ão nha qué os".split()}
 
