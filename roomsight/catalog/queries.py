@@ -675,31 +675,25 @@ def parquet_roundtrip(spark, folder):
 
 # --- models ---------------------------------------------------------------------------------------------------
 
-# Small ensembles: the registered runs check the whole path, not the best score.
-SMALL = {"Logistic Regression": {"max_iter": 50},
-         "Random Forest": {"n_estimators": 20, "max_depth": 8},
-         "Boosted Trees": {"n_estimators": 5, "max_depth": 3}}
-
-
 def _training(spark, folder) -> training.TrainingData:
     return training.training_data(features.features_full(readings(spark, folder)))
 
 
 def _logistic(data: training.TrainingData):
-    return models.logistic(data.train.count(), max_iter=50).fit(data.train)
+    return models.logistic(data.train.count()).fit(data.train)
 
 
 @query
 def baseline_models(spark, folder):
     data = _training(spark, folder)
-    return models.compare_models(data.train, data.test, models.CANDIDATES, SMALL)
+    return models.compare_models(data.train, data.test, models.CANDIDATES)
 
 
 @query
 def tuned_models(spark, folder):
-    """Balanced search over two draws and two folds per model, models and parameters saved."""
+    """Balanced search over all draws and folds per model, models and parameters saved."""
     return training.tuned_run(_training(spark, folder), "reading_id",
-                              scratch_path(spark, "models"), draws=2, folds=2, fixed=SMALL)
+                              scratch_path(spark, "models"))
 
 
 @query
@@ -712,7 +706,7 @@ def score_rows(spark, folder):
 @query
 def feature_importance(spark, folder):
     data = _training(spark, folder)
-    forest = models.random_forest(0, n_estimators=20, max_depth=8).fit(data.train)
+    forest = models.random_forest(0).fit(data.train)
     return models.feature_importance(forest, data.names)
 
 
@@ -727,16 +721,12 @@ def model_roundtrip(spark, folder):
 
 @query
 def best_params(spark, folder):
-    """Chosen parameters saved as JSON and read back."""
-    data = _training(spark, folder)
-    prepared = models.search_data(data.train, "reading_id", 2, "none")
-    _, params, _ = models.random_search(prepared, models.CANDIDATES[0], 2,
-                                        fixed={"max_iter": 20})
+    """Chosen parameters of every model, saved as JSON and read back."""
     where = scratch_path(spark, "params")
-    files.save_params(spark, params, where, "Logistic Regression")
-    found = files.load_params(spark, where, "Logistic Regression")
-    return spark.createDataFrame([(k, str(v)) for k, v in sorted(found.items())],
-                                 "parameter string, value string")
+    training.tuned_run(_training(spark, folder), "reading_id", where)
+    found = [(c.name, k, str(v)) for c in models.CANDIDATES
+             for k, v in sorted(files.load_params(spark, where, c.name).items())]
+    return spark.createDataFrame(found, "model string, parameter string, value string")
 
 
 @query
