@@ -3,7 +3,8 @@
 Every word is predicted from the words on both sides of it (two each) by a small network:
 embeddings per place, a hidden layer, a softmax over word classes. A word's probability is that
 of its class times its share of the class. The frequent words are classes of their own; others
-share classes by their last letters. Shares come from the counts of all words of all documents.
+share classes by their last letters. Shares come from the counts of all words of all documents: the
+``LISTED`` most frequent ones go to every task, the others are joined to the written counts.
 
 The network is trained in numpy on all documents: in each round every task takes the current
 parameters through all words of its rows, each the target once, and the results are averaged by
@@ -43,11 +44,29 @@ PAD = CLASSES
 @dataclass(frozen=True)
 class Vocabulary:
     """Counts of the corpus: classes of the listed words, and the logarithm of a word's share of
-    its class; ``rest`` has the share of any word that is not listed, by class."""
+    its class; ``rest`` has the mean share of the words that are not listed, by class, and
+    ``mass`` the logarithm of a class's count."""
 
     classes: dict[bytes, int]
     shares: dict[bytes, float]
     rest: np.ndarray
+    mass: np.ndarray
+
+    def split(self, text: bytes | None) -> tuple[bytes, float, list[bytes]]:
+        """Class numbers, and the logarithms of the shares summed but for the counts of the words
+        that are not listed, which are returned."""
+        out, total, others = bytearray(), 0.0, []
+        classes, shares, mass = self.classes, self.shares, self.mass
+        for w in byte_words(text):
+            c = classes.get(w)
+            if c is None:
+                c = tail_class(w)
+                total -= mass[c]
+                others.append(w)
+            else:
+                total += shares[w]
+            out.append(c)
+        return bytes(out), float(total), others
 
     def encode(self, text: bytes | None) -> tuple[bytes, float]:
         """Class numbers (one byte each) and the sum of the logarithms of the shares."""
@@ -69,11 +88,16 @@ def tail_class(word: bytes) -> int:
     return HEAD + zlib.crc32(word[-3:]) % TAIL
 
 
-def vocabulary(docs: DataFrame, listed: int = LISTED) -> Vocabulary:
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(w, n) of all words of all documents, written once."""
+    every = docs.select(F.explode_outer(words(F.col("text").cast("string"))).alias("w"))
+    return cut_lineage(every.where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+
+
+def vocabulary(docs: DataFrame, listed: int = LISTED, counts: DataFrame | None = None) -> Vocabulary:
     """Count all words of all documents; only the ``listed`` most frequent ones, and sums of the
     others per class, reach the driver."""
-    every = docs.select(F.explode_outer(words(F.col("text").cast("string"))).alias("w"))
-    counts = cut_lineage(every.where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    counts = word_counts(docs) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "w").limit(listed).collect()
     end = F.substring(F.col("w").cast("binary"), -3, 3)
     short = F.octet_length("w") <= 3
@@ -99,7 +123,7 @@ def vocabulary(docs: DataFrame, listed: int = LISTED) -> Vocabulary:
         kinds[c] -= c >= HEAD
     # Words not listed share what is left of their class; an unseen one counts half a time.
     rest = np.log(np.maximum(left, 0.5) / np.maximum(kinds, 1) / np.maximum(mass, 1))
-    return Vocabulary(classes, shares, np.minimum(rest, 0.0))
+    return Vocabulary(classes, shares, np.minimum(rest, 0.0), np.log(np.maximum(mass, 1)))
 
 
 def start_parameters(seed: int = 7) -> dict[str, np.ndarray]:
@@ -200,6 +224,34 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     return cut_lineage(per_row(rows, "codes binary, share double", make, ["text"], ["doc_id"]))
 
 
+def encode_whole(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(doc_id, row, codes, share, others) of every row, written once; ``others`` has the words
+    whose counts the share lacks."""
+    reach(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)  # bounded by LISTED
+
+    def make():
+        found = shared.value
+        return lambda columns: [found.split(t) for t in columns[0]]
+
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    made = per_row(rows, "codes binary, share double, others array<binary>", make, ["text"],
+                   ["doc_id"])
+    return cut_lineage(made.withColumn("row", F.monotonically_increasing_id()))
+
+
+def other_shares(encoded: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row, more): logarithms of the counts of a row's other words, summed as whole numbers of
+    2**-36, so that their order does not matter. A word not counted (its bytes are no text) counts
+    half a time."""
+    fine = F.lit(2.0 ** 36)
+    known = counts.select(F.col("w").cast("binary").alias("w"), "n")
+    found = encoded.select("row", F.explode("others").alias("w")).join(known, "w", "left")
+    n = F.coalesce(F.col("n").cast("double"), F.lit(0.5))
+    return found.groupBy("row").agg(
+        (F.sum(F.round(F.log(n) * fine).cast("long")) / fine).alias("more"))
+
+
 def _blocks(batch_codes: list[bytes], most: int = 100_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows with together about ``most`` words: (first, last, codes, lengths)."""
     at = 0
@@ -257,8 +309,8 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED,
     return p
 
 
-def score(encoded: DataFrame, p: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, n_words, log_likelihood and per_word of every row."""
+def score(encoded: DataFrame, p: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, n_words, log_likelihood and per_word of every row."""
     def make():
         def work(columns):
             out = []
@@ -277,7 +329,7 @@ def score(encoded: DataFrame, p: dict[str, np.ndarray]) -> DataFrame:
         return work
 
     return per_row(encoded, "n_words long, log_likelihood double, per_word double", make,
-                   ["codes", "share"], ["doc_id"])
+                   ["codes", "share"], list(keep))
 
 
 def report(docs: DataFrame, listed: int = LISTED, rounds: int = ROUNDS,
@@ -287,5 +339,10 @@ def report(docs: DataFrame, listed: int = LISTED, rounds: int = ROUNDS,
     NULL, empty and wordless texts have no words and likelihood 0. Repeated rows count and are
     scored each. An empty table gives no rows. Extra columns are not read.
     """
-    encoded = encode(docs, vocabulary(docs, listed))
-    return score(encoded, train(encoded, rounds, masked, size))
+    counts = word_counts(docs)
+    encoded = encode_whole(docs, vocabulary(docs, listed, counts))
+    scored = score(encoded, train(encoded, rounds, masked, size), ("doc_id", "row"))
+    whole = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+    return scored.join(other_shares(encoded, counts), "row", "left").select(
+        "doc_id", "n_words", whole.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias("per_word"))
