@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import TOKEN, WORD
 from .decontaminate import WINDOW
 from .licences import BASE, COVERAGE, K, NEAR, STRETCHED, TEMPLATES, VOTES
+from .minhash import PERCENT, SHINGLE
 from .mixing import MOST, SEED, SHARE, WEIGHTS
 
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -106,3 +107,24 @@ FROM docs LEFT JOIN by_text USING (r)
 """
 
 ORACLES["op9_licence_scan"] = OP9
+
+OP13 = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(coalesce({LOW.format('text')}, ''), '{TOKEN}') AS ws FROM documents),
+sets AS (SELECT DISTINCT r, array_to_string(ws[s:s + {SHINGLE - 1}], ' ') AS gram
+         FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - {SHINGLE - 2}, 2))) AS s FROM docs
+               WHERE len(ws) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+links AS (SELECT a.r AS x, b.r AS y FROM sets a JOIN sets b ON a.gram = b.gram AND a.r < b.r
+    JOIN sizes m ON m.r = a.r JOIN sizes n ON n.r = b.r GROUP BY a.r, b.r, m.n, n.n
+    HAVING 100 * count(*) >= {PERCENT} * (m.n + n.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r AS x, r AS y FROM docs UNION
+          SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.y),
+least AS (SELECT reach.x AS r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.y GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+    doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM docs JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
+ORACLES["op13_minhash"] = OP13
