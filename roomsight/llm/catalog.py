@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 from . import (chunks, decontaminate, language, licences, minhash, mixing, quality, scoring, simhash,
-               tokens, toxicity)
+               tokens, toxicity, trie, whitening)
 from .oracles import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +61,14 @@ def op10_chunk_fingerprints(spark, sf_dir):
     return chunks.report(_read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark, sf_dir):
+    return trie.report(_read(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.report(_read(spark, sf_dir, "embeddings"))
+
+
 def op13_minhash(spark, sf_dir):
     return minhash.report(_read(spark, sf_dir, "documents"))
 
@@ -68,4 +76,4 @@ def op13_minhash(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_mixture, op3_lm_scoring, op4_quality, op5_simhash, op6_token_output,
     op7_language, op8_toxicity, op9_licence_scan, op10_chunk_fingerprints,
-    op13_minhash)}
+    op11_conversation_trie, op12_whitening, op13_minhash)}

@@ -128,3 +128,33 @@ FROM docs JOIN least USING (r) LEFT JOIN sizes USING (r)
 """
 
 ORACLES["op13_minhash"] = OP13
+
+_crc32 = """xor(list_reduce([4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')],
+    lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, step: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"""
+
+OP11 = f"""
+WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+               FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+    md5(concat_ws('|', strlen(role)::VARCHAR, role, text))) AS own, {_crc32} % 9 AS h FROM turns GROUP BY c),
+made AS (SELECT a.c, coalesce(b.own[1:a.h], []) || a.own[a.h + 1:] AS t
+         FROM convs a LEFT JOIN convs b ON b.c = a.c - a.c % 5),
+members AS (SELECT c, len(t) AS size, d, t[1:d] AS key
+            FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM made)),
+nodes AS (SELECT key, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = size), '') AS ends FROM members GROUP BY key, d),
+children AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(nodes.key[depth].text) END AS saved
+    FROM nodes LEFT JOIN children ON children.key = nodes.key),
+sums AS (SELECT key[1:k] AS key, k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+         FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM own) GROUP BY 1, 2)
+SELECT own.conv_id::BIGINT AS conv_id, own.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id,
+    own.n_convs::BIGINT AS n_convs, own.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+    sums.saved::BIGINT AS saved_tokens, sha256(own.ends) AS ends_sha256
+FROM own JOIN sums ON sums.key = own.key
+LEFT JOIN nodes parent ON own.depth > 0 AND parent.key = own.key[1:own.depth - 1]
+"""
+
+ORACLES["op11_conversation_trie"] = OP11
