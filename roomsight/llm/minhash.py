@@ -42,6 +42,7 @@ GROUP_SHINGLES = 1_000_000
 AT_ONCE = 32_768
 SMALL = 24
 REMEMBERED = 300_000
+FILTER_BITS = 1 << 26
 
 
 class WordValues(dict):
@@ -332,6 +333,32 @@ def similar(classes: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percen
     return map_arrow(_placed(dealt, "node", "grams"), run, "a long, b long")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, th, text) of the rows whose (_id, _th) is wanted, and of few others.
+
+    The wanted rows set bits of a table of ``FILTER_BITS`` bits, which every task gets; so most texts
+    are left before the join shuffles them. With many millions of wanted rows it lets more pass.
+    """
+    bit = lambda *key: F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
+    marks = wanted.select(bit("_id", "_th").alias("bit")).groupBy(
+        F.shiftright("bit", 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table[marks["word"].to_numpy(np.int64)] = marks["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
+    rows = rows.withColumn("bit", bit("doc_id", "th"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(3).to_numpy()
+            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(hit.astype(bool))).select(["doc_id", "th", "text"])
+
+    return map_arrow(rows, run, rows.drop("bit").schema)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
                     rows: int = ROWS, group_rows: int = GROUP_ROWS,
                     group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -355,12 +382,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     member = classes.select(F.col("root").alias("group"), "node")
     member = member.union(member.select("group", F.col("group").alias("node")).distinct())
     member = cut_lineage(member.join(sets.select("node", "n", "row"), "node"))
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("_th", F.xxhash64("text"))
     rows_of = member.select("node", F.col("row.doc_id").alias("_id"), F.col("row.th").alias("_th"))
-    found = texts.alias("t").join(rows_of.alias("m"), (F.col("t._th") == F.col("m._th"))
-                                  & F.col("t._id").eqNullSafe(F.col("m._id")))
-    found = found.select("m.node", "t.text").dropDuplicates(["node"])  # repeated rows
+    found = _texts(docs, rows_of).join(rows_of, (F.col("th") == F.col("_th"))
+                                       & F.col("doc_id").eqNullSafe(F.col("_id")))
+    found = found.select("node", "text").dropDuplicates(["node"])  # repeated rows
     links = similar(member.select("group", "node", "n"), found, shingle, percent, group_shingles)
     tree = components(links).withColumnRenamed("node", "_node")
     of = sets.select("sid", "least", "node").join(tree, F.col("node") == F.col("_node"), "left").select(
