@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
@@ -679,10 +678,6 @@ def _training(spark, folder) -> training.TrainingData:
     return training.training_data(features.features_full(readings(spark, folder)))
 
 
-def _logistic(data: training.TrainingData):
-    return models.logistic(data.train.count()).fit(data.train)
-
-
 @query
 def baseline_models(spark, folder):
     data = _training(spark, folder)
@@ -698,9 +693,14 @@ def tuned_models(spark, folder):
 
 @query
 def score_rows(spark, folder):
+    """The test rows with the class that each model predicts."""
     data = _training(spark, folder)
-    return models.score_rows(_logistic(data), data.test).select(
-        "reading_id", "label", "prediction")
+    n, found = data.train.count(), None
+    for c in models.CANDIDATES:
+        rows = models.score_rows(c.build(n).fit(data.train), data.test).select(
+            F.lit(c.name).alias("model"), "reading_id", "label", "prediction")
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 @query
@@ -712,11 +712,15 @@ def feature_importance(spark, folder):
 
 @query
 def model_roundtrip(spark, folder):
-    """A model saved, loaded and used: rows per label and prediction."""
+    """Every model saved, loaded and used: rows per label and prediction."""
     data = _training(spark, folder)
-    path = files.save_model(_logistic(data), scratch_path(spark, "models"), "Logistic Regression")
-    loaded = LogisticRegressionModel.load(path)
-    return evaluate.confusion(models.score_rows(loaded, data.test), "label", "prediction")
+    where, n, found = scratch_path(spark, "models"), data.train.count(), None
+    for c in models.CANDIDATES:
+        path = files.save_model(c.build(n).fit(data.train), where, c.name)
+        cells = evaluate.confusion(models.score_rows(c.load(spark, path), data.test), "label", "prediction")
+        cells = cells.select(F.lit(c.name).alias("model"), "*")
+        found = cells if found is None else found.unionByName(cells)
+    return found
 
 
 @query

@@ -75,6 +75,16 @@ def together(spark: SparkSession, *tasks: Callable[[], T]) -> list[T]:
         return pool.map(inheritable_thread_target(spark)(lambda task: task()), tasks)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed for them: workers started from
+    now on are told the folder it lies in (on a cluster that ships it, that is simply not there)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 
