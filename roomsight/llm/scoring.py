@@ -1,137 +1,146 @@
 """Language-model scoring by masked pseudo-likelihood.
 
-Every word is predicted from the words on both sides of it (two each) by a small network:
-embeddings per place, a hidden layer, a softmax over word classes. A word's probability is that
-of its class times its share of the class. The frequent words are classes of their own; others
-share classes by their last letters. Shares come from the counts of all words of all documents: the
-``LISTED`` most frequent ones go to every task, the others are joined to the written counts.
-
-The network is trained in numpy on all documents: in each round every task takes the current
-parameters through all words of its rows, each the target once, and the results are averaged by
-words seen (summed in 32 groups before the driver sees them). A score is the sum of the logarithms of all
-conditional probabilities of a text. Words become class numbers once, written to the shared
-folder, and rounds and scoring read those.
+Every word is predicted from the words on both sides of it (two each) by a small network: embeddings per
+place, a hidden layer, and a softmax of two levels, both from the hidden vector: the group of the
+word, then its cell within the group. The most frequent words have cells of their own; the others share
+cells by their last letters. A word's probability is that of its group, times that of its cell, times its
+share of the cell. Shares come from the counts of all words of all documents: the ``LISTED`` most
+frequent ones go to every task, the others are joined to the written counts.
+
+The network is trained in numpy on all documents. These are dealt out by hash into parts of about
+``WORDS_A_PART`` words, whose number grows with the corpus and not with the tasks; in each round every part takes
+the current parameters through all its words, each the target once, and the results are averaged by
+words seen (summed in ``GROUPS`` groups before the driver sees them). So scores do not depend on how
+the documents lie in files. A score is the sum of the logarithms of all conditional probabilities of a text. Words
+become cell numbers once, written to the shared folder, and rounds and scoring read those.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from dataclasses import dataclass
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import byte_words, map_arrow, per_row, reach, words
-
-HEAD = 96
-TAIL = 64
-LISTED = 20_000
-HIDDEN = 24
+from .common import byte_words, map_arrow, reach
+
+TOP = 32
+SUB = 64
+CELLS = TOP * SUB
+HEAD = 1_536
+LISTED = 200_000
+HIDDEN = 16
 PLACES = (-2, -1, 1, 2)
-MASKED = 1.0
 ROUNDS = 2
-GROUPS = 32
-BATCH = 1024
-CLASSES = HEAD + TAIL
-PAD = CLASSES
+GROUPS = 8
+BATCH = 4_096
+RATE = 0.1
+#: Squares of gradients that the step sizes start from.
+FIRST = 1e-6
+PAD = CELLS
+WORDS_A_PART = 2_000_000
+#: Logits are cut there, far beyond any that training reaches; their exponentials stay finite.
+FAR = 60.0
+#: Words a task counts before it hands its counts on.
+HELD = 400_000
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Counts of the corpus: classes of the listed words, and the logarithm of a word's share of
-    its class; ``rest`` has the mean share of the words that are not listed, by class, and
-    ``mass`` the logarithm of a class's count."""
+    """Counts of the corpus: the listed words' numbers, and by number the cell and the logarithm of
+    the word's share of it; ``mass`` has the logarithm of a cell's count."""
 
-    classes: dict[bytes, int]
-    shares: dict[bytes, float]
-    rest: np.ndarray
+    numbers: dict[bytes, int]
+    cells: np.ndarray
+    shares: np.ndarray
     mass: np.ndarray
 
-    def split(self, text: bytes | None) -> tuple[bytes, float, list[bytes]]:
-        """Class numbers, and the logarithms of the shares summed but for the counts of the words
-        that are not listed, which are returned."""
-        out, total, others = bytearray(), 0.0, []
-        classes, shares, mass = self.classes, self.shares, self.mass
-        for w in byte_words(text):
-            c = classes.get(w)
-            if c is None:
-                c = tail_class(w)
-                total -= mass[c]
-                others.append(w)
-            else:
-                total += shares[w]
-            out.append(c)
-        return bytes(out), float(total), others
-
-    def encode(self, text: bytes | None) -> tuple[bytes, float]:
-        """Class numbers (one byte each) and the sum of the logarithms of the shares."""
-        out, total = bytearray(), 0.0
-        classes, shares, rest = self.classes, self.shares, self.rest
-        for w in byte_words(text):
-            c = classes.get(w)
-            if c is None:
-                c = tail_class(w)
-                total += rest[c]
-            else:
-                total += shares[w]
-            out.append(c)
-        return bytes(out), float(total)
-
-
-def tail_class(word: bytes) -> int:
-    """Class of a word that is not frequent: by crc32 of its last three bytes."""
-    return HEAD + zlib.crc32(word[-3:]) % TAIL
+    def split(self, texts: list[bytes | None]) -> list[tuple[bytes, int, float, list[bytes]]]:
+        """Of each text the cells (two bytes each), their number, the logarithms of the shares summed but for
+        the counts of the words that are not listed, and these words."""
+        parts = [byte_words(t) for t in texts]
+        length = np.array([len(p) for p in parts], np.int64)
+        n, find = int(length.sum()), _Numbers(self.numbers)
+        number = np.fromiter((i for p in parts for i in map(find.__getitem__, p)), np.int64, n)
+        cell, share = self.cells[number].astype(np.uint16), self.shares[number]
+        end = np.cumsum(length)
+        others: list[list[bytes]] = [[] for _ in parts]
+        missing = np.flatnonzero(number < 0)
+        for at, i in zip(missing.tolist(), np.searchsorted(end, missing, side="right").tolist()):
+            w = parts[i][at - int(end[i] - length[i])]
+            cell[at] = c = tail_cell(w)
+            share[at] = -self.mass[c]
+            others[i].append(w)
+        total = np.concatenate([[0.0], np.cumsum(share)])
+        return [(cell[e - k:e].tobytes(), int(k), float(total[e] - total[e - k]), o)
+                for e, k, o in zip(end.tolist(), length.tolist(), others)]
+
+
+class _Numbers(dict):
+    """-1 for words that are not listed."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
+def tail_cell(word: bytes) -> int:
+    """Cell of a word that is not frequent: by crc32 of its last three bytes."""
+    return HEAD + zlib.crc32(word[-3:]) % (CELLS - HEAD)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(w, n) of all words of all documents, written once."""
-    every = docs.select(F.explode_outer(words(F.col("text").cast("string"))).alias("w"))
-    return cut_lineage(every.where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    """(w binary, n) of all words of all documents, written once; a task adds up what it reads first."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[bytes, int] = {}
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
+                                               pa.array(list(found.values()), pa.int64())], names=["w", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for w in byte_words(text):
+                    found[w] = found.get(w, 0) + 1
+                if len(found) >= HELD:
+                    yield out()
+                    found.clear()
+        yield out()
+
+    texts = docs.select(F.col("text").cast("string").cast("binary").alias("text"))
+    return cut_lineage(map_arrow(texts, count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
 
 
 def vocabulary(docs: DataFrame, listed: int = LISTED, counts: DataFrame | None = None) -> Vocabulary:
-    """Count all words of all documents; only the ``listed`` most frequent ones, and sums of the
-    others per class, reach the driver."""
+    """Of the counts of all words only the ``listed`` largest, and the sums per cell, reach the driver."""
     counts = word_counts(docs) if counts is None else counts
-    top = counts.orderBy(F.desc("n"), "w").limit(listed).collect()
-    end = F.substring(F.col("w").cast("binary"), -3, 3)
-    short = F.octet_length("w") <= 3
-    tail = HEAD + F.pmod(F.crc32(F.when(short, F.col("w").cast("binary")).otherwise(end)), F.lit(TAIL))
-    sums = {r["c"]: (r["n"], r["k"]) for r in counts.groupBy(tail.cast("int").alias("c")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()}
-    classes, mass, kinds = {}, np.zeros(CLASSES), np.zeros(CLASSES)
-    for c, (n, k) in sums.items():
-        mass[c], kinds[c] = n, k
-    for i, r in enumerate(top):
-        w, c = r["w"].encode(), tail_class(r["w"].encode())
-        classes[w] = i if i < HEAD else c
-        if i < HEAD:  # a class of its own
-            mass[c] -= r["n"]
-            kinds[c] -= 1
-            mass[i], kinds[i] = r["n"], 0
-    shares, left = {}, mass.copy()
-    for r in top:
-        w = r["w"].encode()
-        c = classes[w]
-        shares[w] = float(np.log(r["n"] / mass[c]))
-        left[c] -= r["n"]
-        kinds[c] -= c >= HEAD
-    # Words not listed share what is left of their class; an unseen one counts half a time.
-    rest = np.log(np.maximum(left, 0.5) / np.maximum(kinds, 1) / np.maximum(mass, 1))
-    return Vocabulary(classes, shares, np.minimum(rest, 0.0), np.log(np.maximum(mass, 1)))
+    top = [(bytes(r["w"]), r["n"]) for r in counts.orderBy(F.desc("n"), "w").limit(listed).collect()]
+    end = F.when(F.octet_length("w") <= 3, F.col("w")).otherwise(F.substring("w", -3, 3))
+    tail = HEAD + F.pmod(F.crc32(end), F.lit(CELLS - HEAD))
+    mass = np.zeros(CELLS)
+    for r in counts.groupBy(tail.cast("int").alias("c")).agg(F.sum("n").alias("n")).collect():
+        mass[r["c"]] = r["n"]
+    cells = np.zeros(len(top) + 1, np.int64)
+    for i, (w, n) in enumerate(top):
+        cells[i] = i if i < HEAD else tail_cell(w)
+        if i < HEAD:  # a cell of its own
+            mass[tail_cell(w)] -= n
+            mass[i] = n
+    log_mass = np.log(np.maximum(mass, 1))
+    number = np.array([n for _, n in top] + [1.0])
+    return Vocabulary({w: i for i, (w, _) in enumerate(top)}, cells, np.log(number) - log_mass[cells], log_mass)
 
 
 def start_parameters(seed: int = 7) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
-    return {"embed": r.normal(0, 0.1, (len(PLACES), CLASSES + 1, HIDDEN)).astype(np.float32),
-            "hidden": np.zeros(HIDDEN, np.float32),
-            "out": r.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32),
-            "bias": np.zeros(CLASSES, np.float32)}
+    draw = lambda *shape: r.normal(0, 0.1, shape).astype(np.float32)
+    return {"embed": draw(len(PLACES), CELLS + 1, HIDDEN), "hidden": np.zeros(HIDDEN, np.float32),
+            "top": draw(HIDDEN, TOP), "top_bias": np.zeros(TOP, np.float32),
+            "sub": draw(TOP, HIDDEN, SUB), "sub_bias": np.zeros((TOP, SUB), np.float32)}
 
 
 def _pack(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -149,104 +158,139 @@ def _unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def contexts(codes: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """(word, place) classes around each word; the padding class beyond its own text's ends."""
+    """(word, place) cells around each word; the padding cell beyond its own text's ends."""
     n = len(codes)
     end = np.cumsum(length)
     begin = np.repeat(end - length, length)
     stop = np.repeat(end, length)
     at = np.arange(n)
-    out = np.full((n, len(PLACES)), PAD, np.int64)
+    out = np.full((n, len(PLACES)), PAD, np.uint16)
     for j, d in enumerate(PLACES):
         ok = (at + d >= begin) & (at + d < stop)
         out[ok, j] = codes[at[ok] + d]
     return out
 
 
-def _forward(p: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _by_group(context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Rows sorted by the target's group: (context, group, cell within it, runs of a group)."""
+    group = (target // SUB).astype(np.uint8)  # one byte sorts by radix
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    edge = np.searchsorted(group, np.arange(TOP + 1)).tolist()
+    runs = [(g, a, b) for g, (a, b) in enumerate(zip(edge, edge[1:])) if a < b]
+    return context[order], order, target[order] % SUB, runs
+
+
+def _forward(p: dict, context: np.ndarray, runs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden vectors and the logits of both levels, within ``FAR`` of 0."""
     s = p["embed"][0].take(context[:, 0], axis=0)
     for j in range(1, len(PLACES)):
         s += p["embed"][j].take(context[:, j], axis=0)
     s += p["hidden"]
     h = np.tanh(s, out=s)
-    logits = h @ p["out"]
-    logits += p["bias"]
-    logits -= logits.max(1, keepdims=True)
-    return h, logits
+    top = h @ p["top"]
+    top += p["top_bias"]
+    sub = np.empty((len(h), SUB), h.dtype)
+    for g, a, b in runs:
+        np.matmul(h[a:b], p["sub"][g], out=sub[a:b])
+        sub[a:b] += p["sub_bias"][g]
+    np.clip(top, -FAR, FAR, out=top)
+    np.clip(sub, -FAR, FAR, out=sub)
+    return h, top, sub
+
+
+def _sums(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
 
 
 def log_probabilities(p: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Logarithm of each target class's probability given its context."""
-    _, z = _forward(p, context)
-    hit = z[np.arange(len(z)), target]
-    np.exp(z, out=z)
-    return hit - np.log(z.sum(1))
+    """Logarithm of each target cell's probability given its context."""
+    context, order, within, runs = _by_group(context, target)
+    _, top, sub = _forward(p, context, runs)
+    n = np.arange(len(target))
+    hit = top[n, target[order] // SUB] + sub[n, within]
+    np.exp(top, out=top)
+    np.exp(sub, out=sub)
+    out = np.empty(len(target), top.dtype)
+    out[order] = hit - np.log(_sums(top)) - np.log(_sums(sub))
+    return out
 
 
 class Trainer:
     """Adagrad over batches of target words."""
 
-    def __init__(self, p: dict[str, np.ndarray], rate: float = 0.1):
+    def __init__(self, p: dict[str, np.ndarray], rate: float = RATE):
         self.p, self.rate = {k: v.copy() for k, v in p.items()}, rate
-        self.sums = {k: np.full(v.shape, 1e-2, np.float32) for k, v in p.items()}
+        self.sums = {k: np.full(v.shape, FIRST, v.dtype) for k, v in p.items()}
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        h, z = _forward(p, context)
-        np.exp(z, out=z)
-        z *= 1 / (n * z.sum(1, keepdims=True))
-        z[np.arange(n), target] -= 1 / n
-        grad = {"out": h.T @ z, "bias": z.sum(0)}
-        back = (z @ p["out"].T) * (1 - h * h)
-        grad["hidden"] = back.sum(0)
-        embed = np.zeros_like(p["embed"])
+        context, order, within, runs = _by_group(context, target)
+        h, top, sub = _forward(p, context, runs)
+        each = np.arange(n)
+        for z, hit in ((top, target[order] // SUB), (sub, within)):
+            np.exp(z, out=z)
+            z *= (1 / (n * _sums(z)))[:, None]
+            z[each, hit] -= 1 / n
+        back = top @ p["top"].T
+        self._move("top", h.T @ top)
+        self._move("top_bias", top.sum(0))
+        for g, a, b in runs:
+            back[a:b] += sub[a:b] @ p["sub"][g].T
+            self._move("sub", h[a:b].T @ sub[a:b], g)
+            self._move("sub_bias", sub[a:b].sum(0), g)
+        back *= 1 - h * h
+        self._move("hidden", back.sum(0))
         for j in range(len(PLACES)):
-            place = context[:, j].astype(np.uint8)  # one byte sorts by radix
-            order = np.argsort(place, kind="stable")
+            place = context[:, j]
+            order = np.argsort(place, kind="stable")  # two bytes sort by radix
             c = place[order]
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            embed[j][c[first]] = np.add.reduceat(back.take(order, axis=0), first, axis=0)
-        grad["embed"] = embed
-        for k, g in grad.items():
-            self.sums[k] += g * g
-            p[k] -= self.rate * g / np.sqrt(self.sums[k])
-
-
-def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(doc_id, codes binary, share double) of every row, written once."""
-    reach(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)  # bounded by LISTED
-
-    def make():
-        found = shared.value
-        return lambda columns: [found.encode(t) for t in columns[0]]
+            self._move("embed", np.add.reduceat(back.take(order, axis=0), first, axis=0), (j, c[first]))
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return cut_lineage(per_row(rows, "codes binary, share double", make, ["text"], ["doc_id"]))
+    def _move(self, name: str, grad: np.ndarray, at=...) -> None:
+        sums = self.sums[name][at] + grad * grad
+        self.sums[name][at] = sums
+        self.p[name][at] -= self.rate * grad / np.sqrt(sums)
 
 
-def encode_whole(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(doc_id, row, codes, share, others) of every row, written once; ``others`` has the words
-    whose counts the share lacks."""
-    reach(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)  # bounded by LISTED
-
-    def make():
-        found = shared.value
-        return lambda columns: [found.split(t) for t in columns[0]]
+def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(part, row, doc_id, n, codes, share, others) of every row, written once, a file per part.
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    made = per_row(rows, "codes binary, share double, others array<binary>", make, ["text"],
-                   ["doc_id"])
-    return cut_lineage(made.withColumn("row", F.monotonically_increasing_id()))
+    ``others`` has the words whose counts the share lacks. Parts are dealt by the hash of id and text, and
+    sorted by it, so they do not depend on how the rows lie in files.
+    """
+    spark = docs.sparkSession
+    reach(spark)
+    shared = spark.sparkContext.broadcast(vocab)  # bounded by LISTED
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", text).alias("key"), text.cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = shared.value.split(batch.column(2).to_pylist())
+                codes, n, share, others = zip(*made)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
+                     pa.array(share), pa.array(others, pa.list_(pa.binary()))],
+                    names=["doc_id", "key", "n", "codes", "share", "others"])
+
+    ident = rows.schema["doc_id"].dataType.simpleString()
+    made = cut_lineage(map_arrow(rows, run, f"doc_id {ident}, key long, n long, codes binary, share double, "
+                                            "others array<binary>"))
+    words = made.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-words // WORDS_A_PART))
+    part = F.pmod("key", F.lit(parts)).cast("int")
+    dealt = made.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", "key", "n")
+    return cut_lineage(dealt.withColumn("row", F.monotonically_increasing_id()))
 
 
 def other_shares(encoded: DataFrame, counts: DataFrame) -> DataFrame:
     """(row, more): logarithms of the counts of a row's other words, summed as whole numbers of
-    2**-36, so that their order does not matter. A word not counted (its bytes are no text) counts
-    half a time."""
+    2**-36, so that their order does not matter."""
     fine = F.lit(2.0 ** 36)
-    known = counts.select(F.col("w").cast("binary").alias("w"), "n")
-    found = encoded.select("row", F.explode("others").alias("w")).join(known, "w", "left")
+    found = encoded.select("row", F.explode("others").alias("w")).join(counts, "w", "left")
     n = F.coalesce(F.col("n").cast("double"), F.lit(0.5))
     return found.groupBy("row").agg(
         (F.sum(F.round(F.log(n) * fine).cast("long")) / fine).alias("more"))
@@ -258,40 +302,49 @@ def _blocks(batch_codes: list[bytes], most: int = 100_000) -> Iterator[tuple[int
     while at < len(batch_codes):
         end, held = at, 0
         while end < len(batch_codes) and (held < most or end == at):
-            held += len(batch_codes[end] or b"")
+            held += len(batch_codes[end]) // 2
             end += 1
-        part = [c or b"" for c in batch_codes[at:end]]
-        yield (at, end, np.frombuffer(b"".join(part), np.uint8).astype(np.int64),
-               np.array([len(c) for c in part]))
+        part = batch_codes[at:end]
+        yield (at, end, np.frombuffer(b"".join(part), np.uint16), np.array([len(c) // 2 for c in part]))
         at = end
 
 
-def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED,
-          size: int = BATCH) -> dict[str, np.ndarray]:
-    """Parameters after ``rounds`` averages over all tasks; the start values without any word.
+def train(encoded: DataFrame, rounds: int = ROUNDS, size: int = BATCH) -> dict[str, np.ndarray]:
+    """Parameters after ``rounds`` averages over all parts; the start values without any word.
 
-    Every word is a target in every round; ``masked`` below 1 draws that share of them anew."""
+    Every word is a target in every round.
+    """
     p = start_parameters()
     for number in range(rounds):
         now, current = number, p
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            rng = np.random.default_rng([now, part])
-            trainer, seen = Trainer(current), 0
+            part, trainer, seen, rng = None, None, 0, None
+
+            def out():
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([seen]), pa.array([_pack(trainer.p).tobytes()])],
+                    names=["part", "n", "params"])
+
             for batch in batches:
-                for _, _, codes, length in _blocks(batch.column(0).to_pylist()):
-                    pick = np.flatnonzero(rng.random(len(codes)) < masked)
-                    if not len(pick):
+                own = batch.column(0).to_numpy()
+                edge = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+                for a, b in zip(edge, edge[1:]):
+                    if a == b:
                         continue
-                    rng.shuffle(pick)
-                    context = contexts(codes, length)
-                    for i in range(0, len(pick), size):
-                        trainer.step(context[pick[i:i + size]], codes[pick[i:i + size]])
-                    seen += len(pick)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part]), pa.array([seen]), pa.array([_pack(trainer.p).tobytes()])],
-                names=["part", "n", "params"])
+                    if own[a] != part:  # the next part of this task
+                        if seen:
+                            yield out()
+                        part, trainer, seen = int(own[a]), Trainer(current), 0
+                        rng = np.random.default_rng([now, part])
+                    for _, _, codes, length in _blocks(batch.column(1).slice(a, b - a).to_pylist()):
+                        pick = rng.permutation(len(codes))
+                        context = contexts(codes, length)
+                        for i in range(0, len(pick), size):
+                            trainer.step(context[pick[i:i + size]], codes[pick[i:i + size]])
+                        seen += len(pick)
+            if seen:
+                yield out()
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("part")
@@ -300,48 +353,51 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, masked: float = MASKED,
             return pd.DataFrame({"g": [int(pdf["part"].iloc[0] % GROUPS)], "n": [int(pdf["n"].sum())],
                                  "params": [np.asarray(total, float).tobytes()]})
 
-        sums = (map_arrow(encoded.select("codes"), run, "part long, n long, params binary")
+        sums = (map_arrow(encoded.select("part", "codes"), run, "part int, n long, params binary")
                 .groupBy(F.pmod("part", F.lit(GROUPS))).applyInPandas(add, "g int, n long, params binary")
                 .collect())
-        sums = sorted((r for r in sums if r["n"]), key=lambda r: r["g"])
+        sums = sorted(sums, key=lambda r: r["g"])
         if sums:
             p = _unpack(sum(np.frombuffer(r["params"]) for r in sums) / sum(r["n"] for r in sums))
     return p
 
 
-def score(encoded: DataFrame, p: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, n_words, log_likelihood and per_word of every row."""
-    def make():
-        def work(columns):
+def score(encoded: DataFrame, p: dict[str, np.ndarray]) -> DataFrame:
+    """(doc_id, row, n_words, log_likelihood) of every row, without the counts of the other words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             out = []
-            for at, end, codes, length in _blocks(columns[0]):
+            for _, _, codes, length in _blocks(batch.column(2).to_pylist()):
                 lp = np.empty(len(codes))
                 context = contexts(codes, length)
-                for i in range(0, len(codes), BATCH):
-                    lp[i:i + BATCH] = log_probabilities(p, context[i:i + BATCH], codes[i:i + BATCH])
+                for i in range(0, len(codes), 4 * BATCH):
+                    lp[i:i + 4 * BATCH] = log_probabilities(p, context[i:i + 4 * BATCH], codes[i:i + 4 * BATCH])
                 stop = np.cumsum(length)
                 sums = np.concatenate([[0.0], np.cumsum(lp)])
-                total = sums[stop] - sums[stop - length]
-                for n, s, share in zip(length, total, columns[1][at:end]):
-                    whole = float(s) + share if n else 0.0
-                    out.append((int(n), whole, whole / n if n else None))
-            return out
-        return work
+                out.append(sums[stop] - sums[stop - length])
+            whole = np.concatenate(out) + batch.column(3).to_numpy()
+            n = batch.column(4).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4),
+                                              pa.array(np.where(n > 0, whole, 0.0))],
+                                             names=["doc_id", "row", "n_words", "log_likelihood"])
 
-    return per_row(encoded, "n_words long, log_likelihood double, per_word double", make,
-                   ["codes", "share"], list(keep))
+    ident = encoded.schema["doc_id"].dataType.simpleString()
+    return map_arrow(encoded.select("doc_id", "row", "codes", "share", "n"), run,
+                     f"doc_id {ident}, row long, n_words long, log_likelihood double")
 
 
-def report(docs: DataFrame, listed: int = LISTED, rounds: int = ROUNDS,
-           masked: float = MASKED, size: int = BATCH) -> DataFrame:
+def report(docs: DataFrame, listed: int = LISTED, rounds: int = ROUNDS, size: int = BATCH) -> DataFrame:
     """doc_id, n_words, log_likelihood (summed) and per_word (mean; NULL without words).
 
     NULL, empty and wordless texts have no words and likelihood 0. Repeated rows count and are
-    scored each. An empty table gives no rows. Extra columns are not read.
+    scored each. An empty table gives no rows. Very long texts are read whole, in blocks of words within a
+    task. Extra columns are not read.
     """
     counts = word_counts(docs)
-    encoded = encode_whole(docs, vocabulary(docs, listed, counts))
-    scored = score(encoded, train(encoded, rounds, masked, size), ("doc_id", "row"))
+    encoded = encode(docs, vocabulary(docs, listed, counts))
+    scored = score(encoded, train(encoded, rounds, size))
     whole = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
     return scored.join(other_shares(encoded, counts), "row", "left").select(
         "doc_id", "n_words", whole.alias("log_likelihood"),

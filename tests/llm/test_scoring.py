@@ -12,7 +12,7 @@ def test_gradient(monkeypatch):
     """The step's gradient against differences of the mean log-probability."""
     r = np.random.default_rng(1)
     p = {k: (v + r.normal(0, 0.2, v.shape)).astype(np.float64) for k, v in S.start_parameters().items()}
-    codes = r.integers(0, S.CLASSES, 60)
+    codes = r.integers(0, S.CELLS, 60).astype(np.uint16)
     context = S.contexts(codes, np.array([25, 0, 35]))
     trainer = S.Trainer(p, rate=1.0)
     for v in trainer.sums.values():
@@ -21,7 +21,7 @@ def test_gradient(monkeypatch):
     for k, v in p.items():
         flat = v.reshape(-1)
         grad = (flat - trainer.p[k].reshape(-1)) * 1e6
-        for i in r.choice(len(flat), 6):
+        for i in [*r.choice(len(flat), 6), *np.flatnonzero(grad)[:40:5]]:
             old = flat[i]
             flat[i] = old + 1e-5
             up = -S.log_probabilities(p, context, codes).mean()
@@ -32,24 +32,41 @@ def test_gradient(monkeypatch):
 
 
 def test_contexts_stay_within_a_text():
-    got = S.contexts(np.array([5, 6, 7, 8]), np.array([3, 0, 1]))
+    got = S.contexts(np.array([5, 6, 7, 8], np.uint16), np.array([3, 0, 1]))
     p = S.PAD
     assert got.tolist() == [[p, p, 6, 7], [p, 5, 7, p], [5, 6, p, p], [p, p, p, p]]
 
 
-def test_shares_sum_to_one(spark):
+def cell_and_share(v, word):
+    """By the vocabulary: the cell of a word and the logarithm of its share, counts of others left out."""
+    i = v.numbers.get(word, -1)
+    return (S.tail_cell(word), -v.mass[S.tail_cell(word)]) if i < 0 else (v.cells[i], v.shares[i])
+
+
+def test_shares_sum_to_one(spark, monkeypatch):
+    monkeypatch.setattr(S, "HEAD", 96)
     texts = invented(30, 80, seed=3, vocabulary=700)
     counts = Counter(w for t in texts for w in t.split())
     docs = frame(spark, [(i, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
     v = S.vocabulary(docs, listed=200)
     mass = Counter()
-    for w in counts:
-        b = w.encode()
-        c = v.classes.get(b, S.tail_class(b))
-        mass[c] += np.exp(v.shares[b] if b in v.shares else v.rest[c])
+    for w, n in counts.items():
+        c, share = cell_and_share(v, w.encode())
+        mass[c] += np.exp(share) * (1 if w.encode() in v.numbers else n)
     assert all(m == pytest.approx(1) for m in mass.values())
     common = sorted(counts, key=lambda w: (-counts[w], w))[:S.HEAD]
-    assert all(v.shares[w.encode()] == 0 for w in common)
+    assert all(cell_and_share(v, w.encode())[1] == 0 for w in common)
+
+
+def test_split_by_words(spark):
+    texts = invented(9, 50, seed=4, vocabulary=200) + [None, "", "!", "Zz-9"]
+    docs = frame(spark, [(i, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
+    v = S.vocabulary(docs, listed=60)
+    for t, (codes, n, share, others) in zip(texts, v.split([t and t.encode() for t in texts])):
+        ws = [w.encode() for w in (t or "").lower().replace("-", " ").replace("!", "").split()]
+        want = [cell_and_share(v, w) for w in ws]
+        assert np.frombuffer(codes, np.uint16).tolist() == [c for c, _ in want] and n == len(ws)
+        assert share == pytest.approx(sum(s for _, s in want)) and others == [w for w in ws if w not in v.numbers]
 
 
 def test_order_matters_after_training(spark):
@@ -58,13 +75,36 @@ def test_order_matters_after_training(spark):
     base = "one two three four five six seven eight".split()
     rows = [(i, " ".join(base * 25), "en", "s", 0, *CLASHING) for i in range(60)]
     rows += [(1000 + i, " ".join(r.permutation(base * 25)), "en", "s", 0, *CLASHING) for i in range(4)]
-    got = {x["doc_id"]: x for x in S.report(frame(spark, rows).repartition(3), rounds=4, masked=0.5,
-                                         size=64).collect()}
+    got = {x["doc_id"]: x for x in S.report(frame(spark, rows).repartition(3), rounds=3, size=256).collect()}
     plain = np.mean([got[i]["per_word"] for i in range(60)])
     mixed = np.mean([got[1000 + i]["per_word"] for i in range(4)])
     assert plain > -1.0 and mixed < plain - 0.5
 
 
+def test_learns_with_the_registered_parameters(spark):
+    """Texts of a fixed pattern among others: their words are told from the context."""
+    r = np.random.default_rng(0)
+    vocab = [f"w{i}" for i in range(400)]
+    follow = {w: vocab[i] for w, i in zip(vocab, r.permutation(400))}
+    rows = []
+    for i in range(150):
+        t = [vocab[r.integers(400)]]
+        while len(t) < 2000:
+            t.append(follow[t[-1]] if r.random() < 0.9 else vocab[r.integers(400)])
+        rows.append((i, " ".join(t if i else r.permutation(t)), "en", "s", 0, *CLASHING))
+    got = {x["doc_id"]: x["per_word"] for x in S.report(frame(spark, rows)).collect()}
+    assert np.mean([v for k, v in got.items() if k]) > got[0] + 0.5
+
+
+def test_same_scores_however_the_rows_lie(spark, monkeypatch):
+    monkeypatch.setattr(S, "WORDS_A_PART", 700)  # several parts
+    texts = invented(40, 90, seed=2, vocabulary=300)
+    docs = frame(spark, [(i, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
+    a, b = (dict(S.report(d).select("doc_id", "log_likelihood").collect())
+            for d in (docs.coalesce(1), docs.orderBy(F.desc("doc_id")).repartition(7)))
+    assert a == b
+
+
 def test_every_word_is_a_target(spark, monkeypatch):
     """With the registered parameters, each round takes each word as a target once."""
     import inspect
@@ -75,35 +115,34 @@ def test_every_word_is_a_target(spark, monkeypatch):
     v = S.vocabulary(docs, used["listed"])
     seen = []
 
-    class Part:
-        def partitionId(self):
-            return 0
-
     class Counting(S.Trainer):
         def step(self, context, target):
             seen.extend(target.tolist())
             super().step(context, target)
 
-    codes = [v.encode(t.encode())[0] for t in texts]
+    codes = [c for c, *_ in v.split([t.encode() for t in texts])]
     steps = []
     monkeypatch.setattr(S, "Trainer", Counting)
-    monkeypatch.setattr(S.TaskContext, "get", lambda: Part())
 
     def here(df, run, schema):
         import pyarrow as pa
-        batch = pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["codes"])
-        steps.append(len(list(run(iter([batch])))))
+        batches = [pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(c, pa.binary())],
+                                              names=["part", "codes"])
+                   for p, c in (([0] * 5, codes[:5]), ([0, 0, 1, 1, 2, 2, 2], codes[5:]))]
+        steps.append(len(list(run(iter(batches)))))
         return spark.createDataFrame([], schema)
 
+    encoded = S.encode(docs, v)
     monkeypatch.setattr(S, "map_arrow", here)
-    S.train(S.encode(docs, v), used["rounds"], used["masked"], used["size"])
-    assert len(steps) == used["rounds"]
-    once = Counter(c for text in codes for c in text)
+    S.train(encoded, used["rounds"], used["size"])
+    assert steps == [3] * used["rounds"]
+    once = Counter(c for text in codes for c in np.frombuffer(text, np.uint16).tolist())
     assert Counter(seen) == Counter({c: n * used["rounds"] for c, n in once.items()})
 
 
-def test_every_word_has_its_own_share(spark):
+def test_every_word_has_its_own_share(spark, monkeypatch):
     """Words beyond the listed ones keep their frequency; repeated identifiers keep their rows."""
+    monkeypatch.setattr(S, "HEAD", 96)
     texts = invented(40, 120, seed=5, vocabulary=900) + [""]
     docs = frame(spark, [(i // 2, t, "en", "s", 0, *CLASHING) for i, t in enumerate(texts)])
 
@@ -123,15 +162,15 @@ def test_scores_by_brute_force(spark):
     p = S.start_parameters()
     got = {r["doc_id"]: r for r in S.score(S.encode(docs, v), p).collect()}
     for i, t in enumerate(texts):
-        ws = [w.encode() for w in t.split()]
-        codes = [v.classes.get(w, S.tail_class(w)) for w in ws]
+        made = [cell_and_share(v, w.encode()) for w in t.split()]
+        codes = [c for c, _ in made]
         total = 0.0
-        for at, w in enumerate(ws):
-            around = [codes[at + d] if 0 <= at + d < len(ws) else S.PAD for d in S.PLACES]
-            h = np.tanh(p["hidden"] + sum(p["embed"][j][c] for j, c in enumerate(around)))
-            z = h @ p["out"] + p["bias"]
-            total += z[codes[at]] - np.log(np.exp(z).sum()) + v.shares.get(w, v.rest[codes[at]])
-        assert got[i]["n_words"] == len(ws) and got[i]["log_likelihood"] == pytest.approx(total, abs=1e-3)
+        for at, (c, share) in enumerate(made):
+            around = [codes[at + d] if 0 <= at + d < len(codes) else S.PAD for d in S.PLACES]
+            h = np.tanh(p["hidden"] + sum(p["embed"][j][x] for j, x in enumerate(around)))
+            z, y = h @ p["top"] + p["top_bias"], h @ p["sub"][c // S.SUB] + p["sub_bias"][c // S.SUB]
+            total += z[c // S.SUB] - np.log(np.exp(z).sum()) + y[c % S.SUB] - np.log(np.exp(y).sum()) + share
+        assert got[i]["n_words"] == len(codes) and got[i]["log_likelihood"] == pytest.approx(total, abs=1e-3)
 
 
 def test_messy(spark, messy, messy_rows, nothing):
