@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,16 @@ WORDS_A_PART = 2_000_000
 #: Logits are cut there, far beyond any that training reaches; their exponentials stay finite.
 FAR = 60.0
 #: Words a task counts before it hands its counts on.
-HELD = 400_000
+HELD = 150_000
+#: Texts whose words are listed at a time.
+ROWS = 128
+
+
+class Numbers(dict):
+    """-1 for words that are not listed."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
 
 @dataclass(frozen=True)
@@ -55,7 +65,7 @@ class Vocabulary:
     """Counts of the corpus: the listed words' numbers, and by number the cell and the logarithm of
     the word's share of it; ``mass`` has the logarithm of a cell's count."""
 
-    numbers: dict[bytes, int]
+    numbers: Numbers
     cells: np.ndarray
     shares: np.ndarray
     mass: np.ndarray
@@ -65,8 +75,7 @@ class Vocabulary:
         the counts of the words that are not listed, and these words."""
         parts = [byte_words(t) for t in texts]
         length = np.array([len(p) for p in parts], np.int64)
-        n, find = int(length.sum()), _Numbers(self.numbers)
-        number = np.fromiter((i for p in parts for i in map(find.__getitem__, p)), np.int64, n)
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, int(length.sum()))
         cell, share = self.cells[number].astype(np.uint16), self.shares[number]
         end = np.cumsum(length)
         others: list[list[bytes]] = [[] for _ in parts]
@@ -81,13 +90,6 @@ class Vocabulary:
                 for e, k, o in zip(end.tolist(), length.tolist(), others)]
 
 
-class _Numbers(dict):
-    """-1 for words that are not listed."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 def tail_cell(word: bytes) -> int:
     """Cell of a word that is not frequent: by crc32 of its last three bytes."""
     return HEAD + zlib.crc32(word[-3:]) % (CELLS - HEAD)
@@ -132,7 +134,7 @@ def vocabulary(docs: DataFrame, listed: int = LISTED, counts: DataFrame | None =
             mass[i] = n
     log_mass = np.log(np.maximum(mass, 1))
     number = np.array([n for _, n in top] + [1.0])
-    return Vocabulary({w: i for i, (w, _) in enumerate(top)}, cells, np.log(number) - log_mass[cells], log_mass)
+    return Vocabulary(Numbers({w: i for i, (w, _) in enumerate(top)}), cells, np.log(number) - log_mass[cells], log_mass)
 
 
 def start_parameters(seed: int = 7) -> dict[str, np.ndarray]:
@@ -268,11 +270,11 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = shared.value.split(batch.column(2).to_pylist())
-                codes, n, share, others = zip(*made)
+            for at in range(0, batch.num_rows, ROWS):  # the words of few texts are in memory
+                part = batch.slice(at, ROWS)
+                codes, n, share, others = zip(*shared.value.split(part.column(2).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
                      pa.array(share), pa.array(others, pa.list_(pa.binary()))],
                     names=["doc_id", "key", "n", "codes", "share", "others"])
 
