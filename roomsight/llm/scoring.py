@@ -18,6 +18,7 @@ become cell numbers once, written to the shared folder, and rounds and scoring r
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -35,6 +36,8 @@ SUB = 64
 CELLS = TOP * SUB
 HEAD = 1_536
 LISTED = 200_000
+#: Counts below are told apart one by one, larger ones by steps of about a hundredth.
+EXACT = 4_096
 HIDDEN = 16
 PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
@@ -98,7 +101,7 @@ def tail_cell(word: bytes) -> int:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(w binary, n) of all words of all documents, written once; a task adds up what it reads first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[bytes, int] = {}
+        found: Counter[bytes] = Counter()
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
@@ -106,8 +109,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for w in byte_words(text):
-                    found[w] = found.get(w, 0) + 1
+                found.update(byte_words(text))
                 if len(found) >= HELD:
                     yield out()
                     found.clear()
@@ -118,9 +120,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, listed: int = LISTED, counts: DataFrame | None = None) -> Vocabulary:
-    """Of the counts of all words only the ``listed`` largest, and the sums per cell, reach the driver."""
+    """Of the counts of all words at most the ``listed`` largest, and the sums per cell, reach the driver.
+
+    Counts are listed down to the least level of counts that keeps to that number.
+    """
     counts = word_counts(docs) if counts is None else counts
-    top = [(bytes(r["w"]), r["n"]) for r in counts.orderBy(F.desc("n"), "w").limit(listed).collect()]
+    level = F.when(F.col("n") < EXACT, F.col("n")).otherwise(EXACT + F.floor(F.log2("n") * 64)).cast("long")
+    most, least = 0, 1 << 60
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("level")).collect():
+        most += r["k"]
+        if most > listed:
+            break
+        least = r["level"]
+    top = sorted(((bytes(r["w"]), r["n"]) for r in counts.where(level >= least).collect()),
+                 key=lambda x: (-x[1], x[0]))
     end = F.when(F.octet_length("w") <= 3, F.col("w")).otherwise(F.substring("w", -3, 3))
     tail = HEAD + F.pmod(F.crc32(end), F.lit(CELLS - HEAD))
     mass = np.zeros(CELLS)
@@ -284,7 +297,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     words = made.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-words // WORDS_A_PART))
     part = F.pmod("key", F.lit(parts)).cast("int")
-    dealt = made.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", "key", "n")
+    dealt = made.withColumn("part", part).repartitionById(parts, "part").sortWithinPartitions("part", "key", "n")
     return cut_lineage(dealt.withColumn("row", F.monotonically_increasing_id()))
 
 

@@ -149,7 +149,7 @@ def test_every_word_has_its_own_share(spark):
         got = S.report(docs, listed=listed, rounds=0).collect()
         return sorted((r["doc_id"], r["n_words"], r["log_likelihood"]) for r in got)
 
-    few, all_ = rows(S.HEAD + 50), rows(10_000)
+    few, all_ = rows(S.HEAD + 1_500), rows(10_000)
     assert [r[:2] for r in few] == [r[:2] for r in all_] and len(few) == len(texts)
     assert [r[2] for r in few] == pytest.approx([r[2] for r in all_], abs=1e-3)
 
