@@ -24,22 +24,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from .common import map_arrow, per_row
+from .common import map_arrow
 
 LIMIT = 16
 STRIDE = 256
 BLOCK_IDS = 65_536
 END_ID = 1
-CACHE = 800_000
-PIECES = 400_000
+#: Pieces a worker remembers: words and marks of 200 bytes or so each.
+PIECES = 600_000
+#: Bytes of the texts that are encoded together.
+TEXT_BYTES = 1 << 24
 #: Fixed value: the pattern of the word tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Texts of ASCII and Latin letters that are their own normal form and lower-cased alike by all.
-SIMPLE = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+")
+_simple = r"!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F"
+SIMPLE = re.compile(f"[{_simple}]+")
+#: The same with blanks between them.
+PLAIN = re.compile(f"[ \\t\\n\\r{_simple}]*")
 LETTERS = r"a-z\u00DF-\u00F6\u00F8-\u017F"
 _shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 #: The symbol of each byte that has none of its own: 256 and on, in order of the bytes.
@@ -56,51 +62,110 @@ def _pieces_of(tokenizer) -> re.Pattern | None:
     cut = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or []
     if (normal == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cut] == ["Split", "ByteLevel"]
             and cut[0]["pattern"] == {"Regex": WORD_PATTERN} and not cut[1]["add_prefix_space"]):
-        return re.compile(WORD_PATTERN.replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9"))
+        return re.compile(WORD_PATTERN.replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9") + "|\n")
     return None
 
 
-class Parts(dict):
-    """Ids of texts without blanks, as bytes, found when first asked for and then remembered:
-    ``SIMPLE`` ones by their pieces, others whole."""
+class Pieces(dict):
+    """Ids of lower-cased pieces as bytes, found when first asked for and then remembered; of more
+    than ``PIECES`` those asked for lately."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
-        self.pattern, self.pieces = _pieces_of(tokenizer), {}
-
-    def __missing__(self, part: bytes) -> bytes:
-        if len(self) >= CACHE:
+        super().__init__({"\n": b""})
+        self.merge, self.old = tokenizer.model.tokenize, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            symbols = piece if piece.isascii() else piece.encode().decode("latin-1").translate(SYMBOLS)
+            ids = array("I", [m.id for m in self.merge(symbols)]).tobytes()
+        if len(self) >= PIECES // 2:
+            self.old = dict(self)
             self.clear()
-        text = part.decode()
-        if self.pattern is None or not SIMPLE.fullmatch(text) or "<|" in text:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        else:
-            ids = b"".join([self.pieces.get(x) or self.piece(x)
-                            for x in self.pattern.findall(text.lower())])
-        self[part] = ids
-        return ids
-
-    def piece(self, text: str) -> bytes:
-        if len(self.pieces) >= PIECES:
-            self.pieces.clear()
-        symbols = text if text.isascii() else text.encode().decode("latin-1").translate(SYMBOLS)
-        ids = self.pieces[text] = array("I", [m.id for m in self.merge(symbols)]).tobytes()
+            self["\n"] = b""
+        self[piece] = ids
         return ids
 
 
-def encode_texts(path: str, texts: list[bytes | None]) -> list[np.ndarray]:
-    """Ids of each text as the tokenizer gives them.
+class Encoder:
+    """Ids of texts, as the tokenizer gives them.
 
-    The tokenizer makes no token across white space, so the ids of a text are those of its parts
-    between blanks, and parts that repeat are encoded once in a worker.
+    The given tokenizer cuts texts into pieces before it merges anything, and no piece has a blank. So
+    plain texts are cut at blanks, equal parts are found by Arrow, and each different one is cut into pieces once,
+    which are looked up. In other texts only the plain parts go that way; what is left goes through the
+    tokenizer. A tokenizer of another kind gets whole texts.
     """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.pattern = tokenizer, _pieces_of(tokenizer)
+        self.pieces = Pieces(tokenizer)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def parts(self, lines: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain parts, each closed by a line break, one after the other, and their numbers."""
+        found = list(map(self.pieces.__getitem__, self.pattern.findall(lines.lower())))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ends = np.cumsum(sizes)[sizes == 0]  # only a line break has no ids
+        return np.frombuffer(b"".join(found), np.uint32), np.diff(ends, prepend=0)
+
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts one after the other, and their numbers."""
+        cut = pc.ascii_split_whitespace(texts)
+        many = np.asarray(pc.list_value_length(cut), np.int64)
+        coded = cut.flatten().dictionary_encode()
+        lines = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        ids, sizes = self.parts(pc.binary_join(lines, "\n")[0].as_py() + "\n")
+        at = coded.indices.to_numpy()
+        size = sizes[at]
+        end = np.cumsum(size)
+        first = (np.cumsum(sizes) - sizes)[at]
+        out = ids[np.repeat(first - end + size, size) + np.arange(int(end[-1]) if len(end) else 0)]
+        upto = np.concatenate([[0], end])[np.cumsum(many)]
+        return out, np.diff(upto, prepend=0)
+
+    def mixed(self, text: str) -> np.ndarray:
+        """Ids of a text with parts that are not plain."""
+        out, run = [], []
+        for part in [x.decode() for x in text.encode().split()]:
+            if SIMPLE.fullmatch(part) and "<|" not in part:
+                run.append(part)
+                continue
+            out += [self.parts("\n".join([*run, ""]))[0], self.whole(part)]
+            run = []
+        return np.concatenate([*out, self.parts("\n".join([*run, ""]))[0]])
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and their numbers; none for NULL and empty texts."""
+        plain = [bool(self.pattern and t and PLAIN.fullmatch(t) and "<|" not in t) for t in texts]
+        chosen = [t for t, p in zip(texts, plain) if p]
+        ids, sizes = self.plain(pa.array(chosen, pa.string())) if chosen else (_NONE, np.zeros(0, np.int64))
+        if len(sizes) == len(texts):
+            return ids, sizes
+        runs = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [])
+        other = self.mixed if self.pattern else self.whole
+        out = [next(runs) if p else other(t) if t else _NONE for t, p in zip(texts, plain)]
+        return np.concatenate([_NONE, *out]), np.array([len(x) for x in out], np.int64)
+
+
+_NONE = np.zeros(0, np.uint32)
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer's file, made once in a worker."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = Parts(Tokenizer.from_file(path))
-    find = _loaded[path].__getitem__
-    return [np.frombuffer(b"".join(map(find, t.split())) if t else b"", np.uint32) for t in texts]
+        _loaded[path] = Encoder(Tokenizer.from_file(path))
+    return _loaded[path]
+
+
+def encode_texts(path: str, texts: list[bytes | None]) -> list[np.ndarray]:
+    """Ids of each text as the tokenizer gives them; none for NULL and empty texts."""
+    ids, sizes = encoder(path)([None if t is None else t.decode() for t in texts])
+    return np.split(ids, np.cumsum(sizes)[:-1]) if len(texts) else []
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -201,25 +266,33 @@ def _tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
-    def make():
-        part, seq = TaskContext.get().partitionId(), 0
-
-        def work(columns):
-            nonlocal seq
-            out = []
-            texts = columns[0]
-            for i in range(0, len(texts), 1000):
-                for ids in encode_texts(tokenizer, texts[i:i + 1000]):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    planes = ids.view(np.uint8).reshape(-1, 4)
-                    out.append((part, seq, len(ids), planes[:, 0].tobytes(),
-                                planes[:, 1].tobytes(), planes[:, 2].tobytes()))
-                    seq += 1
-            return out
-        return work
-
-    return per_row(rows, "part int, seq long, n long, b0 binary, b1 binary, b2 binary",
-                   make, ["text"], ["doc_id"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer)
+        for batch in batches:
+            length = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)
+            # Runs of texts of together about TEXT_BYTES; a longer one is a run of its own.
+            edges = np.flatnonzero(np.diff(np.cumsum(length) // TEXT_BYTES, prepend=-1))
+            for a, b in zip(edges, np.append(edges[1:], len(length))):
+                ids, sizes = encode(batch.column(1).slice(a, b - a).to_pylist())
+                if len(ids) and ids.max() >> 24:
+                    raise ValueError("ids of 2**24 and more do not fit the draft")
+                end = np.cumsum(sizes + 1)
+                closed = np.empty(int(end[-1]), "<u4")
+                last = np.zeros(len(closed), bool)
+                last[end - 1] = True
+                closed[last], closed[~last] = end_id, ids
+                planes = closed.view(np.uint8).reshape(-1, 4)
+                offsets = pa.py_buffer(np.concatenate([[0], end]).astype(np.int32))
+                n = len(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, n), pa.array(np.full(n, part, np.int32)),
+                     pa.array(np.arange(seq, seq + n)), pa.array(sizes + 1)]
+                    + [pa.Array.from_buffers(pa.binary(), n, [
+                        None, offsets, pa.py_buffer(np.ascontiguousarray(planes[:, i]))]) for i in range(3)],
+                    names=["doc_id", "part", "seq", "n", "b0", "b1", "b2"])
+                seq += n
+
+    return map_arrow(rows, run, "doc_id long, part int, seq long, n long, b0 binary, b1 binary, b2 binary")
 
 
 def _ids(b0: bytes, b1: bytes, b2: bytes) -> np.ndarray:

@@ -30,11 +30,34 @@ def test_parts_give_the_ids_of_the_whole(texts):
 
 
 def test_special_tokens_and_small_cache(monkeypatch):
-    monkeypatch.setattr(T, "CACHE", 2)
+    monkeypatch.setattr(T, "PIECES", 2)
     for text in ("a <|endoftext|> b", "x<|startoftext|>y", "one two three four five six", "\x00 a \x00b"):
         assert T.encode_texts(PATH, [text.encode()])[0].tolist() == ids_of(text)
 
 
+def test_a_tokenizer_of_another_kind_gets_whole_texts(tmp_path):
+    """One that makes tokens across blanks."""
+    from tokenizers import models
+
+    other = Tokenizer(models.WordLevel({"a b": 1, "?": 0}, unk_token="?"))  # texts are single words
+    other.save(str(tmp_path / "other.json"))
+    got = T.encode_texts(str(tmp_path / "other.json"), [b"a b", None, b"a", b""])
+    assert [x.tolist() for x in got] == [[1], [], [0], []]
+
+
+def test_very_long_texts_and_runs_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(T, "TEXT_BYTES", 500)
+    texts = ["one Two, three's 4 five." * 400, "", None, "kurz", "É è " * 300, "中文 and more " * 99] * 3
+    docs = frame(spark, rows_of(texts)).coalesce(1)
+    got = T.report(docs, scratch_path(spark, "t"), PATH).orderBy("doc_id").collect()
+    at = 0
+    for r, t in zip(got, texts):
+        ids = [*ids_of(t), 1]
+        assert (r["start"], r["n_tokens"]) == (at, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 10 ** 9), min_size=1, max_size=40), st.integers(6, 16))
 def test_lengths_are_a_code(counts, limit):
