@@ -42,10 +42,10 @@ HIDDEN = 16
 PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
 GROUPS = 8
-BATCH = 4_096
-RATE = 0.1
+BATCH = 8_192
+RATE = 0.15
 #: Squares of gradients that the step sizes start from.
-FIRST = 1e-6
+FIRST = 1e-7
 PAD = CELLS
 WORDS_A_PART = 2_000_000
 #: Logits are cut there, far beyond any that training reaches; their exponentials stay finite.
