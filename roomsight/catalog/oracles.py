@@ -341,8 +341,7 @@ def density(table: str, names, points: int, cut: float, by: str = "") -> str:
     FROM grid JOIN val USING ({key}) GROUP BY ALL)"""
 
 
-ORACLES["kde_grid"] = f"""WITH {RAW}, {density('r', ['temperature', 'humidity', 'co2_infrared'],
-  200, 0.0)} SELECT "column", point, {r6('x', 'x')}, {r6('density', 'density')} FROM kde"""
+ORACLES["kde_grid"] = f"""WITH {RAW}, {density('r', K.NUMERIC, 200, 0.0)} SELECT "column", point, {r6('x', 'x')}, {r6('density', 'density')} FROM kde"""
 
 
 def quartile_rows(by: str) -> str:
@@ -487,9 +486,9 @@ ORACLES["standardise"] = f"""WITH {UNIQUE_ENC}, {ranked('ue', 'reading_id', 'tar
   {test_sizes('target')},
   s AS (SELECT *, rk <= n_test AS is_test FROM ranked JOIN sizes USING (target)),
   m AS (SELECT """ + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}"
-                               for c in ("temperature", "co2_infrared", "mox_1")) + """
+                               for c in K.NUMERIC) + """
     FROM s WHERE NOT is_test) SELECT reading_id, """ + ", ".join(
-    r6(f"({c} - m_{c}) / s_{c}", c) for c in ("temperature", "co2_infrared", "mox_1")) + " FROM s, m"
+    r6(f"({c} - m_{c}) / s_{c}", c) for c in K.NUMERIC) + " FROM s, m"
 KNN = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
   pairs AS (SELECT a.label, a.vec_id, b.vec_id AS neighbour,
     list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2,
@@ -518,10 +517,32 @@ ORACLES["smote_rows"] = f"""WITH {KNN}, {ranked('e', 'vec_id', 'label')},
     JOIN knn k ON k.label = d.label AND k.vec_id = b.vec_id AND k.rank = d.rank)
   SELECT label, draw, base, neighbour, {r6('u', 'u')}, (p - 1)::INT AS position,
     {r6('v[p]', 'value')} FROM made, range(1, 65) t(p)"""
-ORACLES["smote_readings"] = f"""WITH {UNIQUE_ENC}, c AS (SELECT target, count(*) AS n FROM ue
-    WHERE target IS NOT NULL GROUP BY 1)
-  SELECT target, false AS is_synthetic, n FROM c UNION ALL
-  SELECT target, true, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)"""
+_all = ", ".join(K.NUMERIC)
+ORACLES["smote_readings"] = f"""WITH {EAGER},
+  t AS (SELECT reading_id, {code('activity_level', K.ACTIVITY_CODES)} AS label, {_all} FROM cleaned),
+  known AS (SELECT * FROM t WHERE label IS NOT NULL),
+  m AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in K.NUMERIC)} FROM known),
+  e AS (SELECT reading_id, label, [{", ".join(r6(f"({c} - m_{c}) / s_{c}", "x").removesuffix(" AS x")
+                                              for c in K.NUMERIC)}] AS v FROM known, m),
+  {ranked('e', 'reading_id', 'label')},
+  need AS (SELECT label, count(*) AS nc, max(count(*)) OVER () - count(*) AS needed FROM e GROUP BY 1),
+  draws0 AS (SELECT label, nc, unnest(range(0, needed)) AS draw FROM need),
+  draws AS (SELECT label, draw, {drawn('b')} % nc AS base_rank, ({drawn('k')} % 5 + 1)::INT AS rank,
+    {drawn('u')} / 4294967296.0::DOUBLE AS u FROM draws0),
+  base AS (SELECT DISTINCT b.label, b.reading_id, b.v FROM draws d
+    JOIN ranked b ON b.label = d.label AND b.rk - 1 = d.base_rank),
+  pairs AS (SELECT a.label, a.reading_id, b.reading_id AS neighbour, b.v AS nv,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+    FROM base a JOIN e b ON a.label = b.label AND a.reading_id <> b.reading_id),
+  knn AS (SELECT *, row_number() OVER (PARTITION BY label, reading_id ORDER BY d2, neighbour)::INT AS rank
+    FROM pairs QUALIFY rank <= 5),
+  made AS (SELECT d.label, list_transform(list_zip(b.v, k.nv), lambda p: p[1] + d.u * (p[2] - p[1])) AS v
+    FROM draws d JOIN ranked b ON b.label = d.label AND b.rk - 1 = d.base_rank
+    JOIN knn k ON k.label = d.label AND k.reading_id = b.reading_id AND k.rank = d.rank),
+  every AS (SELECT reading_id, label, v, false AS is_synthetic FROM e
+    UNION ALL SELECT NULL, label, v, true FROM made)
+  SELECT reading_id, label AS target, {", ".join(r6(f"v[{i + 1}]", c) for i, c in enumerate(K.NUMERIC))},
+    is_synthetic FROM every"""
 
 # --- evaluation -----------------------------------------------------------------------------------------
 

@@ -396,7 +396,7 @@ def histogram_lineitem(spark, folder):
 
 @query
 def kde_grid(spark, folder):
-    return density.kde_grid(readings(spark, folder), ["temperature", "humidity", "co2_infrared"])
+    return density.kde_grid(readings(spark, folder), K.NUMERIC)
 
 
 @query
@@ -583,10 +583,9 @@ def class_weights_labels(spark, folder):
 
 @query
 def standardise(spark, folder):
-    columns = ["temperature", "co2_infrared", "mox_1"]
-    df = split.stratified_split(_classed(spark, folder, columns), "reading_id", "target")
-    fitted = scale.fit_standardiser(df.where(~F.col("is_test")), columns)
-    return fitted.transform(df).select("reading_id", *columns)
+    df = split.stratified_split(_classed(spark, folder, K.NUMERIC), "reading_id", "target")
+    fitted = scale.fit_chosen_standardiser(df.where(~F.col("is_test")), K.NUMERIC)
+    return fitted.transform(df).select("reading_id", *K.NUMERIC)
 
 
 @query
@@ -611,12 +610,15 @@ def smote_rows(spark, folder):
 
 @query
 def smote_readings(spark, folder):
-    """Three scaled sensors of the readings, balanced: rows per class and kind."""
-    columns = ["temperature", "co2_infrared", "mox_1"]
-    df = _classed(spark, folder, columns).where(F.col("target").isNotNull())
-    scaled = scale.fit_standardiser(df, columns).transform(df)
-    made = balance.smote(scaled, "reading_id", "target", columns)
-    return made.groupBy("target", "is_synthetic").agg(F.count(F.lit(1)).alias("n"))
+    """Cleaned readings, all sensors scaled, with the synthetic rows that make the classes equal.
+
+    Scaled values are rounded, so that distances of other engines compare equal.
+    """
+    code = S.ordinal(F.col(K.TARGET), K.ACTIVITY_CODES)
+    df = clean.clean(readings(spark, folder)).select("reading_id", code.alias("target"), *K.NUMERIC)
+    df = cut_lineage(df.where(F.col("target").isNotNull()))
+    scaled = cut_lineage(rounded(scale.fit_chosen_standardiser(df, K.NUMERIC).transform(df)))
+    return balance.smote(scaled, "reading_id", "target", K.NUMERIC)
 
 
 # --- evaluation -----------------------------------------------------------------------------------------

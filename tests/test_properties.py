@@ -248,3 +248,20 @@ def test_too_few_rows_to_balance(spark):
     _, df = points(spark, 30)
     with pytest.raises(ValueError, match="cannot be balanced"):
         balance.synthetic_rows(df, "i", "y", "v")
+
+
+def test_density_by_brute_force(spark):
+    """The fast transform against every value at every point, with a far outlier and two clusters."""
+    r = np.random.default_rng(5)
+    columns = {"plain": r.normal(3, 2, 3000), "far": np.append(r.normal(0, 1, 2999), 1e4),
+               "two": np.concatenate([r.normal(-50, 0.1, 1500), r.normal(70, 0.5, 1500)]),
+               "repeated": r.integers(0, 4, 3000).astype(float)}
+    df = spark.createDataFrame(list(zip(*(c.tolist() for c in columns.values()))), list(columns))
+    got = density.kde_grid(df, list(columns), 64).toPandas()
+    for name, values in columns.items():
+        h = len(values) ** -0.2 * values.std(ddof=1)
+        part = got[got["column"] == name].sort_values("point")
+        x = np.linspace(values.min(), values.max(), 64)
+        want = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(1) / (len(values) * h * np.sqrt(2 * np.pi))
+        assert len(part) == 64 and np.allclose(part["x"], x, atol=1e-9)
+        assert np.abs(part["density"] - want).max() * h < 1e-9
