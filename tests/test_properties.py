@@ -41,7 +41,7 @@ def features_of(df, long):
 def test_cutting_long_sessions_changes_nothing(skewed, min_rows):
     whole = features_of(skewed, None)
     long = W.find_long_sessions(skewed, K.SESSION, K.ROW_ORDER, min_rows)
-    assert long is not None and long.cuts.count() > 0
+    assert long is not None and long.keys.count() > 0 and long.parts > 1
     cut = features_of(skewed, long)
     pd.testing.assert_frame_equal(whole, cut, check_exact=False, rtol=1e-9, atol=1e-9)
 
@@ -52,11 +52,31 @@ def test_no_long_session_at_the_default_size(skewed):
 
 def test_chunks_of_a_long_session_are_even(skewed):
     long = W.find_long_sessions(skewed, K.SESSION, K.ROW_ORDER, 40)
-    sizes = (W._with_chunks(skewed, K.SESSION, K.ROW_ORDER, long)
+    sizes = (W._in_parts(skewed, K.ROW_ORDER, long)
              .where(F.col(K.SESSION) == 7).groupBy("_chunk").count().toPandas()["count"])
     assert len(sizes) > 3 and sizes.max() <= 2 * 40
 
 
+def test_one_session_of_all_rows_and_one_time(skewed):
+    """No ordering column but the last tells the rows apart; still cut in even parts, with equal results."""
+    one = skewed.withColumn(K.SESSION, F.lit(1).cast(dict(skewed.dtypes)[K.SESSION])).withColumn(
+        "ts", F.lit("2024-01-01").cast("timestamp"))
+    n = one.count()
+    long = W.find_long_sessions(one, K.SESSION, K.ROW_ORDER, n // 16)
+    sizes = W._in_parts(one, K.ROW_ORDER, long).groupBy("_chunk").count().toPandas()["count"]
+    assert len(sizes) >= 12 and sizes.max() <= 2 * (n // 16)
+    pd.testing.assert_frame_equal(features_of(one, None), features_of(one, long), check_exact=False,
+                                  rtol=1e-9, atol=1e-9)
+
+
+def test_parts_shorter_than_the_lookback(skewed):
+    """Parts of three rows: windows of ten reach over several of them."""
+    small = skewed.where(F.col(K.SESSION) == 7).orderBy(*K.ROW_ORDER).limit(40)
+    long = W.LongSessions(K.SESSION, 13, small.select(K.SESSION).distinct())
+    pd.testing.assert_frame_equal(features_of(small, None), features_of(small, long), check_exact=False,
+                                  rtol=1e-9, atol=1e-9)
+
+
 def test_order_check(rows):
     assert W.order_violations(rows, K.SESSION, K.ROW_ORDER).isEmpty()
     twice = rows.unionAll(rows)
