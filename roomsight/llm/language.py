@@ -6,9 +6,8 @@ times the logarithm of the length learned from, per letter, estimate its entropy
 language, and the language with the fewest such normalised phrases wins.
 
 Texts are lower-cased, runs of anything but letters become one blank. Parsing runs in step over
-many stretches of ``STRETCH`` letters and all languages: one table lookup a letter, a binary search
-for letters beyond the ``TABLE_LETTERS`` most frequent. A phrase ends where a stretch ends, for every
-language alike.
+many whole texts and all languages: one table lookup a letter, a binary search for letters beyond the
+``TABLE_LETTERS`` most frequent. The ends of the few longest texts of a batch are parsed one by one.
 """
 
 from __future__ import annotations
@@ -26,7 +25,8 @@ TRAIN_CHARS = 60_000
 ALL_CHARS = 400_000
 MAX_LANGUAGES = 200
 TABLE_LETTERS = 80
-STRETCH = 1024
+#: So many texts at least are parsed in step.
+TOGETHER = 12
 FOLDS = 3
 HELD_OUT = 1
 
@@ -135,38 +135,56 @@ class Languages:
 
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """Phrases of each sequence under each language."""
-        count = np.zeros((len(codes), len(self.names)))
-        owner, start, size = [], [], []
-        base = 0
-        for i, c in enumerate(codes):
-            for at in range(0, len(c), STRETCH):
-                owner.append(i)
-                start.append(base + at)
-                size.append(min(STRETCH, len(c) - at))
-            base += len(c)
-        if not owner:
-            return count
-        everything = np.concatenate(codes)
-        owner, start, size = np.array(owner), np.array(start), np.array(size)
+        size = np.array([len(c) for c in codes])
         order = np.argsort(-size, kind="stable")
-        owner, start, size = owner[order], start[order], size[order]
-        state = np.tile(self.roots, (len(owner), 1))
-        n = np.zeros((len(owner), len(self.names)))
+        order = order[size[order] > 0]
+        n = np.zeros((len(codes), len(self.names)))
+        if not len(order):
+            return n
+        size = size[order]
+        everything = np.concatenate([codes[i] for i in order])
+        start = np.cumsum(size) - size
+        state = np.tile(self.roots, (len(order), 1))
+        count = np.zeros((len(order), len(self.names)))
+        alive = len(order)
         for step in range(int(size[0])):
             alive = int(np.searchsorted(-size, -step, side="left"))
+            if alive < TOGETHER and not len(self.keys):
+                break
             c = everything[start[:alive] + step]
             at = state[:alive]
             to = self.follow(at, c)
             stop = to < 0
-            n[:alive] += stop | (at == self.roots)
+            count[:alive] += stop | (at == self.roots)
             if stop.any():
                 # The phrase ends before this letter, which begins the next one; a letter that
                 # the language does not have is a phrase of its own.
                 again = self.follow(self.roots[None, :], c)
                 to = np.where(stop, np.where(again < 0, self.roots[None, :], again), to)
             state[:alive] = to
-        np.add.at(count, owner, n)
-        return count
+        else:
+            alive = 0
+        for i in range(alive):
+            rest = everything[start[i] + step:start[i] + size[i]].tolist()
+            for j, root in enumerate(self.roots.tolist()):
+                count[i, j] += self._one(rest, root, int(state[i, j]))
+        n[order] = count
+        return n
+
+    def _one(self, codes: list[int], root: int, state: int) -> int:
+        """Phrases that begin in the rest of one sequence under one language."""
+        table, width, n = memoryview(self.table.reshape(-1)), self.table.shape[1], 0
+        for c in codes:
+            to = table[state * width + c]
+            if to < 0:
+                n += 1
+                to = table[root * width + c]
+                if to < 0:
+                    to = root
+            elif state == root:
+                n += 1
+            state = to
+        return n
 
     def predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
         """(language, score) of each text; ``und`` and 0 without a letter or a learned language."""
@@ -191,19 +209,20 @@ class Languages:
 
 
 def build(samples: dict[str, list[str]], train_chars: int = TRAIN_CHARS) -> Languages:
-    """Automata of the first ``train_chars`` letters of each language's texts, fewer where all
-    languages together would exceed ``ALL_CHARS``."""
+    """Automata of each language's texts: whole ones, in their order, as long as they fit into
+    ``train_chars`` letters (the shortest one, if none does); fewer letters where all languages together would
+    exceed ``ALL_CHARS``."""
     learned = {}
     train_chars = min(train_chars, ALL_CHARS // max(1, len(samples)))
     for name in sorted(samples):
+        every = [p for p in (normalise(text.encode()) for text in samples[name]) if len(p)]
         points, total = [], 0
-        for text in samples[name]:
-            p = normalise(text.encode())[:train_chars - total]
-            points.append(p)
-            total += len(p)
-            if total >= train_chars:
-                break
-        if total:
+        for p in every:
+            if total + len(p) <= train_chars:
+                points.append(p)
+                total += len(p)
+        points = points or sorted(every, key=len)[:1]
+        if points:
             learned[name] = np.concatenate(points)
     if not learned:
         none = np.zeros(0, np.int64)
@@ -266,7 +285,8 @@ def report(docs: DataFrame, model: Languages) -> DataFrame:
 
     NULL texts and texts without a letter are ``und`` with score 0. The score is the second
     best entropy's share of the sum of the two best: 0.5 for a tie, which goes to the name that
-    sorts first. A NULL doc_id counts as fold 0. Extra columns are not read.
+    sorts first. A NULL doc_id counts as fold 0. Very long texts are parsed whole. An empty table gives no
+    rows. Extra columns are not read.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by MAX_LANGUAGES and TRAIN_CHARS

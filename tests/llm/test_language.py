@@ -52,6 +52,25 @@ def test_phrases(monkeypatch):
     assert got.tolist() == [[slow_phrases(a, t), slow_phrases(b, t)] for t in texts]
 
 
+@pytest.mark.parametrize("together", [1, 3, 100])
+def test_long_texts_are_parsed_whole(monkeypatch, together):
+    """Phrases go on over any number of letters, in step or alone."""
+    monkeypatch.setattr(L, "TOGETHER", together)
+    r = random.Random(6)
+    a, b = ("".join(r.choice(s) for _ in range(2500)) for s in ("abcab", "bcdde"))
+    model = L.build({"x": [a], "y": [b]})
+    texts = [a[100:2300], b[:2400] + a[:50], "", "".join(r.choice("abcdez") for _ in range(3000)), a, "b"]
+    got = model.phrases([model.codes(L.normalise(t.encode())) for t in texts])
+    assert got.tolist() == [[slow_phrases(a, t), slow_phrases(b, t)] for t in texts]
+    assert got[0, 0] == got[4, 0] == 1
+
+
+def test_texts_to_learn_from_are_whole():
+    texts = ["abc" * 30, "bcd" * 400, "cde" * 20, "fgh" * 10]
+    model = L.build({"x": texts, "y": ["zyx" * 500]}, 200)
+    assert model.sizes.tolist() == [90 + 60 + 30 + 1, 1500 + 1]
+
+
 def test_alphabets_of_any_size():
     """Letters beyond the most frequent ones count as any other: by brute force, and for languages
     whose alphabets share no letter."""
