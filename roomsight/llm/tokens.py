@@ -38,7 +38,7 @@ END_ID = 1
 #: Pieces a worker remembers: words and marks of 200 bytes or so each.
 PIECES = 600_000
 #: Bytes of the texts that are encoded together.
-TEXT_BYTES = 1 << 24
+TEXT_BYTES = 1 << 21
 #: Fixed value: the pattern of the word tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Texts of ASCII and Latin letters that are their own normal form and lower-cased alike by all.
