@@ -38,7 +38,7 @@ END_ID = 1
 #: Pieces a worker remembers: words and marks of 200 bytes or so each.
 PIECES = 600_000
 #: Bytes of the texts that are encoded together.
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 22
 #: Fixed value: the pattern of the word tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Texts of ASCII and Latin letters that are their own normal form and lower-cased alike by all.
@@ -303,8 +303,9 @@ def _ids(b0: bytes, b1: bytes, b2: bytes) -> np.ndarray:
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Write the ids of every text (NULL: empty), each closed by ``end_id``, to ``path``.
 
-    Repeated rows are written as often as they come. The ids must be below 2**24 and at most
-    65,536 of them in use. Extra columns are not read.
+    Repeated rows are written as often as they come. An empty table gives empty folders. Very long texts are
+    encoded whole, within one task. The ids must be below 2**24 and at most 65,536 of them in use; more
+    are an error. Extra columns are not read.
     """
     spark = docs.sparkSession
     draft = scratch_path(spark, "ids")
@@ -312,6 +313,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
     ids = spark.read.parquet(draft)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _loaded.clear()  # all texts are encoded: a worker need not remember their pieces
         total = np.zeros(0, np.int64)
         for batch in batches:
             for planes in zip(*(c.to_pylist() for c in batch.columns)):
@@ -339,6 +341,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
                           "part int, tokens long, base long").coalesce(1).write.parquet(f"{path}/parts")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _loaded.clear()
         names = ["part", "first", "doc_ids", "sizes", "payload", "marks"]
         kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(),
                  pa.list_(pa.int64())]
