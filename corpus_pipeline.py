@@ -2,6 +2,9 @@
 
 Each stage is a function of (spark, docs, sf_dir); all but the last return the columns of
 ``documents``. ``run`` applies them in order.
+
+For every stage: NULL texts are empty ones; NULL ids, empty and very long texts, ties and repeated rows are kept or
+left as the stage's operator says; an empty table gives an empty one; columns of clashing names come out as they are.
 """
 
 from __future__ import annotations
