@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from roomsight.llm import mixing as M
 
@@ -25,13 +26,16 @@ def shares(sizes, share=1.5, most=2):
 
 
 @pytest.mark.parametrize("seed", range(20))
-def test_targets(seed):
+def test_targets(spark, seed):
     r = random.Random(seed)
     sizes = {f"s{i}": r.choice([0, 1, 10, 500, r.randint(1, 10_000)]) for i in range(r.randint(1, 12))}
     if seed % 2:
         sizes[None] = r.randint(0, 500)
     want = shares(sizes)
-    for t in M.targets(sizes):
+    table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    found = M.targets(table).collect()
+    assert {t.source for t in found} == set(sizes)
+    for t in found:
         assert t.target == pytest.approx(want[t.source])
         assert t.target <= 2 * t.size
         assert t.epochs * t.size + t.rest == pytest.approx(t.target)
@@ -68,6 +72,28 @@ def test_cells_do_not_matter(spark):
     assert one != sorted(map(tuple, M.report(docs, seed=12).collect()))
 
 
+def test_joined_plan(spark):
+    # One source is hot (4 of 9 rows), the others go the way of a shuffle.
+    docs = frame(spark, rows_for(400))
+    one = sorted(map(tuple, M.report(docs).collect()))
+    assert one == sorted(map(tuple, M.report(docs, few_sources=3, cells=4, cell_rows=2).collect()))
+    mixed = sorted(map(str, M.mix(docs).collect()))
+    assert mixed == sorted(map(str, M.mix(docs, few_sources=3).collect()))
+
+
+def test_any_number_of_sources(spark):
+    # Names that sort as numbers do; each third source weighs 5, 2 or 1.
+    n = 150_000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"),
+        F.format_string("s%06d", "id").alias("source"))
+    rows = M.report(docs).collect()
+    want = shares({f"s{i:06d}": i % 7 for i in range(n)})
+    assert len(rows) == n and all(
+        abs(r["target"] - want[f"s{r['doc_id']:06d}"]) < 1e-9 for r in rows)
+    assert all(abs(r["taken"] - r["target"]) <= r["size"] / 2 for r in rows)
+
+
 def test_quality_raises_the_odds(spark):
     rows = [(i, "w " * 10 + ("# " * 10 if i % 2 else "w " * 10), "en", s, 0, *CLASHING)
             for i in range(2000) for s in ("a",)]
