@@ -1,14 +1,12 @@
 """Exact quantiles without gathering a column, its values or its sketches in one task.
 
 ``percentile`` keeps every distinct value of a group in one task's memory. Here a small table
-has its distinct values counted and ranked. A large one is narrowed in three passes over the
-columns concerned, each with a small shuffle:
-
-1. sketches, merged in up to 256 tasks per group, give an interval that holds the quantile;
-2. the interval is cut into 4,096 cells and the rows per cell and between intervals counted;
-3. only the values of the cells that hold the wanted ranks are counted and ranked: for evenly
-   spread distinct values, about two in a million rows. Cells have equal width, so where values
-   of an interval crowd together (a far outlier, two clusters) a cell may hold most of them.
+has its distinct values counted and ranked. A large one is searched by radix, 16 bits a pass: a
+value's image is a 64-bit integer of the same order (its sign, exponent and mantissa), and a cell
+holds the values whose images share their leading bits. A pass counts the cells within those of the
+last pass that hold a wanted rank; once these are small, or share 48 bits, their distinct values are
+counted and ranked. So a task ranks at most 65,536 counts of a group and column (for each cell on from the
+second pass), however the values are spread; two or three passes do unless values crowd very closely.
 """
 
 from __future__ import annotations
@@ -21,11 +19,10 @@ from ..session import cut_lineage
 from .fitted import BROADCAST_ROWS, local_table, match
 
 SMALL_TABLE = 1_000_000
-SMALL_GROUP = 10_000
-ACCURACY = 2_000
-MARKS = 1_000
-TASKS = 256
-CELLS = 4_096
+#: Rows of a cell whose values are ranked without another pass, and cells of a pass: 16 bits.
+CELL_ROWS = 1 << 16
+SHIFTS = (48, 32, 16)
+LARGEST = 1.7976931348623157e308
 
 
 def _long(df: DataFrame, columns: dict[str, Column], by: list[str]) -> DataFrame:
@@ -52,81 +49,63 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
         return _sketched(long, probs, keys, accuracy)
     if (df.count() if rows is None else rows) <= small_table:
         return _ranked(long, probs, keys)
-    order = sorted(set(probs))
-    brackets = _brackets(long, order, keys)
-    # Fixed before use, as sketches may differ between two runs of the same plan.
-    head = brackets.take(BROADCAST_ROWS + 1)
-    few = len(head) <= BROADCAST_ROWS
-    brackets = F.broadcast(local_table(brackets, head)) if few else cut_lineage(brackets)
-    placed = match(long, brackets, keys).withColumn("cell", _cell(len(order)))
-    return _narrowed(placed.select(*keys, "value", "cell"), probs, keys, few)
-
-
-def _brackets(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
-    """One row per group: for each probability (ascending) an interval that holds it.
-
-    Each task's sketch goes to one of 256 tasks per group. The marks of all of them, taken
-    together, place a value to within ``1 / MARKS + 1 / ACCURACY`` of all rows and one row
-    per task; the interval is twice as wide to each side.
-    """
-    levels = [i / MARKS for i in range(1, MARKS + 1)]
-    spread = long.withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(TASKS)))
-    sketch = spread.groupBy(*keys, "_task").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"),
-        F.percentile_approx("value", levels, ACCURACY).alias("_marks"))
-    marks = sketch.select(*keys, "_n", "_min", "_max", F.explode("_marks").alias("_mark"))
-    whole = Window.partitionBy(*keys)
-    ranked = marks.withColumns({
-        "_at": F.sum(F.col("_n") / MARKS).over(whole.orderBy("_mark")),
-        "_all": F.sum(F.col("_n") / MARKS).over(whole)})
-    margin = F.col("_all") * (2.0 / MARKS + 2.0 / ACCURACY) + 2.0 * TASKS
-    low, high = F.min("_min"), F.max("_max")
-    few = F.max("_all") <= SMALL_GROUP
-    ends = []
-    for i, p in enumerate(probs):
-        before = F.max(F.when(F.col("_at") <= F.col("_all") * p - margin, F.col("_mark")))
-        after = F.min(F.when(F.col("_at") >= F.col("_all") * p + margin, F.col("_mark")))
-        ends += [F.when(few, low).otherwise(F.coalesce(before, low)).alias(f"low{i}"),
-                 F.when(few, high).otherwise(F.coalesce(after, high)).alias(f"high{i}")]
-    found = ranked.groupBy(*keys).agg(*ends)
-    return found.withColumns({f"scale{i}": F.coalesce(F.least(F.try_divide(
-        F.lit(float(CELLS)), F.col(f"high{i}") - F.col(f"low{i}")), F.lit(1e300)), F.lit(0.0))
-        for i in range(len(probs))})
-
-
-def _cell(n: int) -> Column:
-    """Number of a value's cell, growing with the value.
-
-    Interval ``i`` has the cells from ``2 * CELLS * i`` on, the gap after it the one behind
-    them; all values before the first interval share cell -1.
+    return _searched(long, probs, keys)
+
+
+def _image(value: Column) -> Column:
+    """A bigint that grows with the double: sign, then exponent and mantissa as stored.
+
+    Powers of two are exact, and so is dividing by them. The exponent of the logarithm can be one
+    off next to a power of two. Infinities come behind the finite values, NaN behind them.
     """
-    value, cells = F.col("value"), []
-    for i in range(n):
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        part = F.floor((value - low) * F.col(f"scale{i}"))
-        inner = F.least(part, F.lit(CELLS - 1).cast("bigint")) + 2 * CELLS * i
-        cells.append(F.when(value.between(low, high), inner))
-    gaps = [F.when(value > F.col(f"high{i}"), F.lit(2 * CELLS * i + CELLS).cast("bigint"))
-            for i in range(n)]
-    return F.coalesce(*cells, F.greatest(F.lit(-1).cast("bigint"), *gaps))
-
-
-def _narrowed(placed: DataFrame, probs: list[float], keys: list[str], few: bool) -> DataFrame:
-    """Quantiles from values with their cells; only cells that hold a wanted rank go on."""
-    cells = placed.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("rows"))
-    whole = Window.partitionBy(*keys)
-    upto = F.sum("rows").over(whole.orderBy("cell"))
-    sums = cells.withColumns({"upto": upto, "n": F.sum("rows").over(whole)})
+    size = F.least(F.abs(value), F.lit(LARGEST))
+    guess = F.least(F.greatest(F.coalesce(F.floor(F.log2(size)), F.lit(-1022)), F.lit(-1022)), F.lit(1023))
+    part = size / F.pow(F.lit(2.0), guess)
+    power = guess + F.when(part >= 2, 1).when((part < 1) & (guess > -1022), -1).otherwise(0)
+    unit = 1 << 52
+    bits = (power + 1022) * F.lit(unit) + (size / F.pow(F.lit(2.0), power) * unit).cast("bigint")
+    bits = F.when(F.isnan(value), F.lit(2047 * unit + 1)).when(
+        F.abs(value) > LARGEST, F.lit(2047 * unit)).otherwise(bits)
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def _fixed(table: DataFrame) -> tuple[DataFrame, int]:
+    """A table made once, for a broadcast where it is small, and the largest of its ``rows``."""
+    head = table.take(BROADCAST_ROWS + 1)
+    if len(head) <= BROADCAST_ROWS:
+        return F.broadcast(local_table(table, head)), max((r["rows"] for r in head), default=0)
+    table = cut_lineage(table)
+    return table, table.agg(F.max("rows")).first()[0]
+
+
+def _searched(long: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
+    """Quantiles by radix; only cells that hold a wanted rank go on to the next pass."""
+    image, whole = _image(F.col("value")), Window.partitionBy(*keys)
     ranks = [f((F.col("n") - 1) * F.lit(p)) for p in probs for f in (F.floor, F.ceil)]
     holds = reduce(lambda a, b: a | b, [
         (r < F.col("upto")) & (r >= F.col("upto") - F.col("rows")) for r in ranks])
-    wanted = sums.where(holds).select(*keys, "cell", "n",
-                                      (F.col("upto") - F.col("rows")).alias("start"))
-    # At most two cells per probability and group.
-    hits = match(placed, F.broadcast(wanted) if few else wanted, [*keys, "cell"])
-    counts = hits.groupBy(*keys, "cell", "n", "start", "value").agg(
-        F.count(F.lit(1)).alias("rows"))
-    inner = Window.partitionBy(*keys, "cell").orderBy("value")
+    hits, inside = long, []
+    for shift in SHIFTS:
+        cells = hits.groupBy(*keys, *inside, F.shiftright(image, shift).alias("cell")).agg(
+            F.count(F.lit(1)).alias("rows"))
+        if inside:
+            upto = F.col("start") + F.sum("rows").over(
+                Window.partitionBy(*keys, "outer").orderBy("cell"))
+            sums = cells.withColumn("upto", upto)
+        else:
+            sums = cells.withColumns({"upto": F.sum("rows").over(whole.orderBy("cell")),
+                                      "n": F.sum("rows").over(whole)})
+        # At most two cells per probability and group.
+        wanted, most = _fixed(sums.where(holds).select(
+            *keys, F.col("cell").alias("outer"), "n", "rows",
+            (F.col("upto") - F.col("rows")).alias("start")))
+        hits = match(long.withColumn("outer", F.shiftright(image, shift)), wanted.drop("rows"),
+                     [*keys, "outer"])
+        inside = ["outer", "n", "start"]
+        if most <= CELL_ROWS:
+            break
+    counts = hits.groupBy(*keys, *inside, "value").agg(F.count(F.lit(1)).alias("rows"))
+    inner = Window.partitionBy(*keys, "outer").orderBy("value")
     return _at_ranks(counts.withColumn("upto", F.col("start") + F.sum("rows").over(inner)),
                      probs, keys)
 

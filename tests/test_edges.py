@@ -294,3 +294,29 @@ def test_quantiles_of_more_groups_than_are_broadcast(spark, monkeypatch):
     pdf = df.toPandas()
     for r in quantiles.quantiles(df, ["x"], [0.3, 0.5], ["g"], small_table=0).collect():
         assert math.isclose(r["value"], pdf[pdf.g == r["g"]].x.quantile(r["q"]), rel_tol=1e-9)
+
+
+def test_quantiles_by_radix_however_values_spread(spark, monkeypatch):
+    import random
+    import struct
+
+    import numpy as np
+
+    r = random.Random(5)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1e300, -1e300, 1.7976931348623157e308]
+    powers = [x for e in range(-1074, 1024, 7) for x in (2.0 ** e, -(2.0 ** e), 2.0 ** e * (1 - 2 ** -53))]
+    bits = [x for x in (struct.unpack("d", r.randbytes(8))[0] for _ in range(2000)) if abs(x) < 1e308]
+    values = odd + powers + bits
+    image = spark.createDataFrame([(x,) for x in values], "x double").select(
+        "x", quantiles._image(F.col("x")).alias("i")).collect()
+    for x, i in image:
+        want = struct.unpack("q", struct.pack("d", abs(x)))[0]
+        assert i == (-want if x < 0 else want)
+    # Two clusters, one of them closer than 32 leading bits tell apart, and a far outlier.
+    near = [1 + i * 2.0 ** -50 for i in range(3000)] + [1e-9 * i for i in range(1000)] + [1e300] * 2
+    df = spark.createDataFrame([(x, g) for x in near for g in (1, None)], "x double, g int")
+    monkeypatch.setattr(quantiles, "CELL_ROWS", 50)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.9999]
+    for row in quantiles.quantiles(df, ["x"], probs, ["g"], small_table=0).collect():
+        assert row["n"] == len(near)
+        assert row["value"] == pytest.approx(float(np.quantile(near, row["q"])), rel=1e-15)
