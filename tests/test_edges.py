@@ -254,6 +254,22 @@ def test_quantiles_of_any_size_agree_with_sorting(spark, n):
             assert math.isclose(r["value"], np.quantile(values, r["q"]), abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_quantiles_read_their_rows_once(spark, small):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    df = spark.range(3_000).selectExpr("cast(id % 700 as double) x", "id % 2 g").mapInPandas(watch, "x double, g long")
+    got = {r["g"]: r["value"] for r in quantiles.quantiles(df, ["x"], [0.5], ["g"], small_table=small).collect()}
+    pdf = spark.range(3_000).toPandas()
+    assert got == {g: (pdf[pdf.id % 2 == g].id % 700).median() for g in (0, 1)}
+    assert seen.value == 3_000
+
+
 def test_approximate_medians(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"), F.lit("a").alias("g"))
     assert quantiles.medians(df, {"x": F.col("x")}, accuracy=1000) == {"x": 500.0}
