@@ -247,6 +247,30 @@ def test_cells_are_skipped(spark):
     assert visits < everything / 3
 
 
+def test_a_query_travels_once_to_neighbouring_cells(spark):
+    """Where every cell must be visited, not a row per query and cell, and the result is exact."""
+    r = np.random.default_rng(8)
+    x = r.normal(0, 1, (900, 40))
+    df = spark.createDataFrame([(i, "a", v.tolist()) for i, v in enumerate(x)], "i int, y string, v array<double>")
+    p = df.selectExpr("y cls", "i id", "v vec")
+    pivots = neighbours._choose_pivots(p, K.SEED)
+    summary = neighbours._summarise(neighbours._assign(p, pivots), 5)
+    packs = neighbours._pack(summary, pivots, 300)
+    assert sorted(packs["a"]) == sorted(c[0] for c in summary["a"])
+    rows = {}
+    for c in summary["a"]:
+        rows[packs["a"][c[0]]] = rows.get(packs["a"][c[0]], 0) + c[1]
+    assert max(rows.values()) <= 300 or len(rows) == len(summary["a"])
+    visits = neighbours._visits(p, pivots, summary, 5, packs)
+    assert visits.agg(F.sum(F.size("cells"))).first()[0] > 900 * 20 and visits.count() <= 900 * len(rows)
+    got = neighbours.knn_within_class(df, df, "i", "y", "v", 5, block_rows=300).collect()
+    far = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(far, np.inf)
+    assert len(got) == 900 * 5 and all(far[g["i"]].argsort()[g["rank"] - 1] == g["neighbour"] for g in got)
+    assert all(np.allclose(g["neighbour_vector"], x[g["neighbour"]]) for g in got)
+
+
+
 def test_balanced_classes_between_two_parents(spark):
     pdf, df = points(spark)
     wide = df.select("i", "y", *[F.col("v")[j].alias(f"c{j}") for j in range(6)],
