@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import DENSITY_POINTS, VIOLIN_CUT, VIOLIN_POINTS, WHISKER
 from .fitted import BROADCAST_ROWS, attach, local_table
-from .quantiles import quartiles
+from .quantiles import counts_and_quartiles, quartiles
 
 #: Terms of the expansion of a kernel, and bandwidths beyond which it is nothing.
 TERMS = 12
@@ -119,18 +119,20 @@ def kde_by_class(df: DataFrame, columns: list[str], by: str, points: int = VIOLI
 
 
 def box_stats(df: DataFrame, columns: list[str], by: str) -> DataFrame:
-    """Quartiles, whiskers inside 1.5 IQR and number of outliers per class and column."""
-    present = df.where(F.col(by).isNotNull())
-    box = quartiles(present, columns, [by])
+    """Quartiles, whiskers inside 1.5 IQR and number of outliers per class and column.
+
+    All of it follows from the distinct values and their counts, so the rows are read once.
+    """
+    counts, box = counts_and_quartiles(df.where(F.col(by).isNotNull()), columns, [by])
     reach = (F.col("q75") - F.col("q25")) * WHISKER
     fences = box.select("*", (F.col("q25") - reach).alias("low_fence"),
                         (F.col("q75") + reach).alias("high_fence"))
-    joined = attach(_long(present, columns, [by]), fences, [by, "column"], "inner")
+    joined = attach(counts, fences, [by, "column"], "inner")
     inside: Column = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     return joined.groupBy(by, "column", "q25", "q50", "q75").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"), F.count(F.lit(1)).alias("n"))
+        F.sum(F.when(~inside, F.col("rows")).otherwise(0)).alias("outliers"), F.sum("rows").alias("n"))
 
 
 def outlier_rows(df: DataFrame, columns: list[str], by: str) -> DataFrame:

@@ -48,10 +48,17 @@ def quantiles(df: DataFrame, columns: list[str] | dict[str, Column], probs: list
     keys = [*by, "column"]
     if accuracy:
         return _sketched(long, probs, keys, accuracy)
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+    counts = _counted(long, keys)
     if rows is not None and rows <= small_table:
         return _ranked(counts, probs, keys)
-    counts = cut_lineage(counts)
+    return _of_counts(cut_lineage(counts), probs, keys, small_table)
+
+
+def _counted(long: DataFrame, keys: list[str]) -> DataFrame:
+    return long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _of_counts(counts: DataFrame, probs: list[float], keys: list[str], small_table: int) -> DataFrame:
     if counts.count() <= small_table:
         return _ranked(counts, probs, keys)
     return _searched(counts, probs, keys)
@@ -154,11 +161,25 @@ def medians(df: DataFrame, columns: dict[str, Column], rows: int | None = None,
     return {c: found.get(c) for c in columns}
 
 
+QUARTERS = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+
+
+def _in_one_row(long: DataFrame, keys: list[str]) -> DataFrame:
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
+                                     for p, name in QUARTERS.items()])
+
+
 def quartiles(df: DataFrame, columns: list[str], by: list[str] | None = None,
               accuracy: int | None = None) -> DataFrame:
     """Quartiles in one row per group and column: (by..., column, q25, q50, q75)."""
     by = by or []
-    pick = [F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
-            for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
-    return (quantiles(df, columns, [0.25, 0.5, 0.75], by, accuracy=accuracy)
-            .groupBy(*by, "column").agg(*pick))
+    return _in_one_row(quantiles(df, columns, list(QUARTERS), by, accuracy=accuracy), [*by, "column"])
+
+
+def counts_and_quartiles(df: DataFrame, columns: list[str], by: list[str],
+                         small_table: int = SMALL_TABLE) -> tuple[DataFrame, DataFrame]:
+    """The distinct present values with their number of ``rows``, written once (by..., column, value,
+    rows), and the quartiles. What depends on the values alone needs no other pass over the rows."""
+    keys = [*by, "column"]
+    counts = cut_lineage(_counted(_long(df, {c: F.col(c) for c in columns}, by), keys))
+    return counts, _in_one_row(_of_counts(counts, list(QUARTERS), keys, small_table), keys)

@@ -270,6 +270,24 @@ def test_quantiles_read_their_rows_once(spark, small):
     assert seen.value == 3_000
 
 
+def test_box_stats_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    values = [*[float(v) for v in range(10) for _ in range(3)], 100.0, 100.0, -50.0, None]
+    rows = [("a", v) for v in values] + [("b", 1.0), ("b", 1.0), ("c", None), (None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, x double").mapInPandas(watch, "g string, x double")
+    got = {r["g"]: r.asDict() for r in density.box_stats(df, ["x"], "g").collect()}
+    assert set(got) == {"a", "b"}
+    assert [got["a"][k] for k in ("whisker_low", "whisker_high", "outliers", "n")] == [0.0, 9.0, 3, 33]
+    assert [got["b"][k] for k in ("q25", "whisker_low", "whisker_high", "outliers", "n")] == [1.0, 1.0, 1.0, 0, 2]
+    assert seen.value == len(rows)
+
+
 def test_approximate_medians(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"), F.lit("a").alias("g"))
     assert quantiles.medians(df, {"x": F.col("x")}, accuracy=1000) == {"x": 500.0}
