@@ -36,9 +36,14 @@ def words(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def byte_blanks(text: bytes) -> bytes:
+    """The text lower-cased, with a blank for each byte that belongs to no word."""
+    return text.translate(_word_bytes)
+
+
 def byte_words(text: bytes | None) -> list[bytes]:
     """The same words within a Python task, from and as UTF-8 bytes."""
-    return text.translate(_word_bytes).split() if text else []
+    return byte_blanks(text).split() if text else []
 
 
 def fold(ident: Column, parts: int) -> Column:

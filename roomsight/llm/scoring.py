@@ -18,10 +18,8 @@ become cell numbers once, written to the shared folder, and rounds and scoring r
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import byte_words, map_arrow, reach
+from .common import byte_blanks, map_arrow, reach
 
 TOP = 32
 SUB = 64
@@ -50,10 +48,15 @@ PAD = CELLS
 WORDS_A_PART = 2_000_000
 #: Logits are cut there, far beyond any that training reaches; their exponentials stay finite.
 FAR = 60.0
-#: Words a task counts before it hands its counts on.
-HELD = 150_000
-#: Texts whose words are listed at a time.
-ROWS = 128
+LN2 = 0.6931471805599453
+#: Added to a small number of 4 bytes, it leaves the nearest whole number in the last bits.
+ROUNDER = np.float32(1.5 * 2 ** 23)
+#: Of 2 ** x, |x| <= 0.5: the powers 4 to 1.
+POWERS = [np.float32(c) for c in (0.00958285, 0.05590643, 0.24024099, 0.69312419)]
+#: Words whose logits are made at a time: 96 of 4 bytes each, 384 KB.
+PIECE = 1_024
+#: Bytes of texts whose words are listed at a time.
+SLICE = 8 << 20
 
 
 class Numbers(dict):
@@ -76,21 +79,51 @@ class Vocabulary:
     def split(self, texts: list[bytes | None]) -> list[tuple[bytes, int, float, list[bytes]]]:
         """Of each text the cells (two bytes each), their number, the logarithms of the shares summed but for
         the counts of the words that are not listed, and these words."""
-        parts = [byte_words(t) for t in texts]
-        length = np.array([len(p) for p in parts], np.int64)
-        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, int(length.sum()))
+        words, length = word_array(texts)
+        words = words.dictionary_encode()
+        # Each different word is looked up once.
+        found = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
         cell, share = self.cells[number].astype(np.uint16), self.shares[number]
+        for i in np.flatnonzero(number < 0).tolist():
+            cell[i] = c = tail_cell(found[i])
+            share[i] = -self.mass[c]
+        place = words.indices.to_numpy()
         end = np.cumsum(length)
-        others: list[list[bytes]] = [[] for _ in parts]
-        missing = np.flatnonzero(number < 0)
-        for at, i in zip(missing.tolist(), np.searchsorted(end, missing, side="right").tolist()):
-            w = parts[i][at - int(end[i] - length[i])]
-            cell[at] = c = tail_cell(w)
-            share[at] = -self.mass[c]
-            others[i].append(w)
-        total = np.concatenate([[0.0], np.cumsum(share)])
-        return [(cell[e - k:e].tobytes(), int(k), float(total[e] - total[e - k]), o)
-                for e, k, o in zip(end.tolist(), length.tolist(), others)]
+        others: list[list[bytes]] = [[] for _ in texts]
+        missing = np.flatnonzero((number < 0)[place])
+        for i, k in zip(np.searchsorted(end, missing, side="right").tolist(), place[missing].tolist()):
+            others[i].append(found[k])
+        total = np.zeros(len(texts))
+        some = length > 0
+        if some.any():  # a text's sum does not depend on the texts around it
+            total[some] = np.add.reduceat(share[place], (end - length)[some])
+        cells = cell[place]
+        return [(cells[e - k:e].tobytes(), k, t, o)
+                for e, k, t, o in zip(end.tolist(), length.tolist(), total.tolist(), others)]
+
+
+def word_array(texts: list[bytes | None]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words of ``byte_words`` of all texts in a row, and their number in each text."""
+    whole = byte_blanks(b" ".join([b"", *(t or b"" for t in texts), b""]))
+    letters = np.frombuffer(whole, np.uint8)
+    inside = letters != 32
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # begins and ends in turn
+    begin, end = edge[::2], edge[1::2]
+    offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets),
+                                                                 pa.py_buffer(letters[inside])])
+    stop = np.cumsum([len(t or b"") + 1 for t in texts], dtype=np.int64)
+    return words, np.diff(np.searchsorted(begin, stop, side="right"), prepend=0)
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with together about ``SLICE`` bytes of a text."""
+    size = np.cumsum([len(t or b"") for t in batch.column(column).to_pylist()]) // SLICE
+    edge = [0, *(np.flatnonzero(size[1:] != size[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edge, edge[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
 
 
 def tail_cell(word: bytes) -> int:
@@ -101,19 +134,10 @@ def tail_cell(word: bytes) -> int:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(w binary, n) of all words of all documents, written once; a task adds up what it reads first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
-                                               pa.array(list(found.values()), pa.int64())], names=["w", "n"])
-
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(byte_words(text))
-                if len(found) >= HELD:
-                    yield out()
-                    found.clear()
-        yield out()
+            for part in slices(batch, 0):
+                found = word_array(part.column(0).to_pylist())[0].value_counts()
+                yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["w", "n"])
 
     texts = docs.select(F.col("text").cast("string").cast("binary").alias("text"))
     return cut_lineage(map_arrow(texts, count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
@@ -175,14 +199,15 @@ def _unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
 def contexts(codes: np.ndarray, length: np.ndarray) -> np.ndarray:
     """(word, place) cells around each word; the padding cell beyond its own text's ends."""
     n = len(codes)
-    end = np.cumsum(length)
-    begin = np.repeat(end - length, length)
-    stop = np.repeat(end, length)
-    at = np.arange(n)
+    text = np.repeat(np.arange(len(length), dtype=np.int32), length)
     out = np.full((n, len(PLACES)), PAD, np.uint16)
     for j, d in enumerate(PLACES):
-        ok = (at + d >= begin) & (at + d < stop)
-        out[ok, j] = codes[at[ok] + d]
+        k = abs(d)
+        near = text[k:] == text[:-k]  # pairs of words of one text
+        if d > 0:
+            out[:-k, j] = np.where(near, codes[k:], PAD)
+        else:
+            out[k:, j] = np.where(near, codes[:-k], PAD)
     return out
 
 
@@ -193,41 +218,93 @@ def _by_group(context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.n
     group = group[order]
     edge = np.searchsorted(group, np.arange(TOP + 1)).tolist()
     runs = [(g, a, b) for g, (a, b) in enumerate(zip(edge, edge[1:])) if a < b]
-    return context[order], order, target[order] % SUB, runs
+    return context.take(order, axis=0), order, target.take(order) % SUB, runs
+
 
+def _levels(p: dict) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Weights (group, hidden, ``TOP + SUB``) and biases (group, ``TOP + SUB``, 1) of both levels for every group of
+    the target, times the logarithm of e to base 2; and whether no hidden vector, entries within 1 of 0, takes a
+    logit beyond ``FAR``."""
+    both = np.empty((TOP, HIDDEN, TOP + SUB), p["top"].dtype)
+    bias = np.empty((TOP, TOP + SUB, 1), both.dtype)
+    both[:, :, :TOP], both[:, :, TOP:] = p["top"], p["sub"]
+    bias[:, :TOP, 0], bias[:, TOP:, 0] = p["top_bias"], p["sub_bias"]
+    both *= 1 / LN2
+    bias *= 1 / LN2
+    return both, bias, bool((np.abs(both).sum(1) + np.abs(bias[:, :, 0])).max() <= FAR / LN2)
 
-def _forward(p: dict, context: np.ndarray, runs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hidden vectors and the logits of both levels, within ``FAR`` of 0."""
+
+def _hidden(p: dict, context: np.ndarray) -> np.ndarray:
+    """(hidden, word): hidden vectors."""
     s = p["embed"][0].take(context[:, 0], axis=0)
     for j in range(1, len(PLACES)):
         s += p["embed"][j].take(context[:, j], axis=0)
     s += p["hidden"]
-    h = np.tanh(s, out=s)
-    top = h @ p["top"]
-    top += p["top_bias"]
-    sub = np.empty((len(h), SUB), h.dtype)
-    for g, a, b in runs:
-        np.matmul(h[a:b], p["sub"][g], out=sub[a:b])
-        sub[a:b] += p["sub_bias"][g]
-    np.clip(top, -FAR, FAR, out=top)
-    np.clip(sub, -FAR, FAR, out=sub)
-    return h, top, sub
+    return np.ascontiguousarray(np.tanh(s, out=s).T)
 
 
-def _sums(z: np.ndarray) -> np.ndarray:
-    return z @ np.ones(z.shape[1], z.dtype)
+def _pieces(runs: list) -> Iterator[tuple[int, int, list]]:
+    """Stretches of at most ``PIECE`` rows, whose logits stay in a core's cache: (first, end, runs of a group, counted
+    from the first)."""
+    n = runs[-1][2] if runs else 0
+    at = 0
+    for a in range(0, n, PIECE):
+        b, own = min(a + PIECE, n), []
+        while at < len(runs) and runs[at][1] < b:
+            g, c, d = runs[at]
+            own.append((g, max(a, c) - a, min(b, d) - a))
+            if d > b:
+                break
+            at += 1
+        yield a, b, own
+
+
+def _logits(both: np.ndarray, bias: np.ndarray, h: np.ndarray, own: list, near: bool) -> np.ndarray:
+    """(``TOP + SUB``, word): logits of both levels to base 2, within ``FAR`` of 0."""
+    z = np.empty((TOP + SUB, h.shape[1]), h.dtype)
+    for g, a, b in own:
+        np.matmul(both[g].T, h[:, a:b], out=z[:, a:b])
+        z[:, a:b] += bias[g]
+    return z if near else np.clip(z, -FAR / LN2, FAR / LN2, out=z)
+
+
+def _powers(z: np.ndarray) -> np.ndarray:
+    """2 ** z, in place, for z within 126 of 0.
+
+    For 4 bytes by a polynomial in the fraction, right to 3e-6, in passes that the processor takes several numbers at a
+    time; the whole part is added to the exponent's bits.
+    """
+    if z.dtype != np.float32:
+        return np.exp2(z, out=z)
+    near = z + ROUNDER
+    whole = near.view(np.int32) << 23
+    near -= ROUNDER
+    near = np.subtract(z, near, out=near)
+    np.multiply(near, POWERS[0], out=z)
+    for c in POWERS[1:]:
+        z += c
+        z *= near
+    z += np.float32(1)
+    bits = z.view(np.int32)
+    bits += whole
+    return z
 
 
 def log_probabilities(p: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Logarithm of each target cell's probability given its context."""
     context, order, within, runs = _by_group(context, target)
-    _, top, sub = _forward(p, context, runs)
-    n = np.arange(len(target))
-    hit = top[n, target[order] // SUB] + sub[n, within]
-    np.exp(top, out=top)
-    np.exp(sub, out=sub)
-    out = np.empty(len(target), top.dtype)
-    out[order] = hit - np.log(_sums(top)) - np.log(_sums(sub))
+    h, (both, bias, near) = _hidden(p, context), _levels(p)
+    hit, top, sub = np.empty((3, len(target)), h.dtype)
+    group, cell = target.take(order) // SUB, TOP + within.astype(np.intp)
+    each, ones = np.arange(PIECE), np.ones(SUB, h.dtype)
+    for a, b, own in _pieces(runs):
+        z = _logits(both, bias, h[:, a:b], own, near)
+        np.add(z[group[a:b], each[:b - a]], z[cell[a:b], each[:b - a]], out=hit[a:b])
+        _powers(z)
+        np.matmul(ones[:TOP], z[:TOP], out=top[a:b])
+        np.matmul(ones, z[TOP:], out=sub[a:b])
+    out = np.empty(len(target), h.dtype)
+    out[order] = hit * h.dtype.type(LN2) - np.log(top) - np.log(sub)
     return out
 
 
@@ -240,33 +317,44 @@ class Trainer:
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        context, order, within, runs = _by_group(context, target)
-        h, top, sub = _forward(p, context, runs)
-        each = np.arange(n)
-        for z, hit in ((top, target[order] // SUB), (sub, within)):
-            np.exp(z, out=z)
-            z *= (1 / (n * _sums(z)))[:, None]
-            z[each, hit] -= 1 / n
-        back = top @ p["top"].T
-        self._move("top", h.T @ top)
-        self._move("top_bias", top.sum(0))
-        for g, a, b in runs:
-            back[a:b] += sub[a:b] @ p["sub"][g].T
-            self._move("sub", h[a:b].T @ sub[a:b], g)
-            self._move("sub_bias", sub[a:b].sum(0), g)
-        back *= 1 - h * h
-        self._move("hidden", back.sum(0))
+        context, _, within, runs = _by_group(context, target)
+        cell = TOP + within.astype(np.intp)
+        h, (both, bias, near) = _hidden(p, context), _levels(p)
+        back, grads, bias_grads = np.empty_like(h), np.zeros_like(both), np.zeros_like(bias[:, :, 0])
+        each, ones = np.arange(PIECE), np.ones(max(SUB, PIECE), h.dtype)
+        for a, b, own in _pieces(runs):
+            z = _powers(_logits(both, bias, h[:, a:b], own, near))
+            z[:TOP] *= 1 / (n * (ones[:TOP] @ z[:TOP]))
+            z[TOP:] *= 1 / (n * (ones[:SUB] @ z[TOP:]))
+            z[cell[a:b], each[:b - a]] -= 1 / n
+            for g, c, d in own:
+                part = z[:, c:d]
+                part[g] -= 1 / n
+                np.matmul(both[g], part, out=back[:, a + c:a + d])
+                grads[g] += h[:, a + c:a + d] @ part.T
+                bias_grads[g] += part @ ones[:d - c]
+        self._move(p["top"], self.sums["top"], grads[:, :, :TOP].sum(0))
+        self._move(p["top_bias"], self.sums["top_bias"], bias_grads[:, :TOP].sum(0))
+        self._move(p["sub"], self.sums["sub"], grads[:, :, TOP:])
+        self._move(p["sub_bias"], self.sums["sub_bias"], bias_grads[:, TOP:])
+        back *= (1 - h * h) * h.dtype.type(LN2)
+        self._move(p["hidden"], self.sums["hidden"], back.sum(1))
+        back = np.ascontiguousarray(back.T)
+        pairs = back.view(np.result_type(back, np.complex64))  # two numbers are added at a time
         for j in range(len(PLACES)):
             place = context[:, j]
             order = np.argsort(place, kind="stable")  # two bytes sort by radix
             c = place[order]
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            self._move("embed", np.add.reduceat(back.take(order, axis=0), first, axis=0), (j, c[first]))
+            grad = np.add.reduceat(pairs.take(order, axis=0), first, axis=0).view(back.dtype)
+            at = c[first].astype(np.intp)
+            cells, sums = p["embed"][j].take(at, axis=0), self.sums["embed"][j].take(at, axis=0)
+            self._move(cells, sums, grad)
+            p["embed"][j][at], self.sums["embed"][j][at] = cells, sums
 
-    def _move(self, name: str, grad: np.ndarray, at=...) -> None:
-        sums = self.sums[name][at] + grad * grad
-        self.sums[name][at] = sums
-        self.p[name][at] -= self.rate * grad / np.sqrt(sums)
+    def _move(self, values: np.ndarray, sums: np.ndarray, grad: np.ndarray) -> None:
+        sums += grad * grad
+        values -= self.rate * grad / np.sqrt(sums)
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -283,8 +371,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):  # the words of few texts are in memory
-                part = batch.slice(at, ROWS)
+            for part in slices(batch, 2):
                 codes, n, share, others = zip(*shared.value.split(part.column(2).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
@@ -356,7 +443,8 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, size: int = BATCH) -> dict[s
                         pick = rng.permutation(len(codes))
                         context = contexts(codes, length)
                         for i in range(0, len(pick), size):
-                            trainer.step(context[pick[i:i + size]], codes[pick[i:i + size]])
+                            at = pick[i:i + size]
+                            trainer.step(context.take(at, axis=0), codes.take(at))
                         seen += len(pick)
             if seen:
                 yield out()

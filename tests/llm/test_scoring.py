@@ -1,11 +1,13 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm_rows import CLASHING, frame, invented
 from roomsight.llm import scoring as S
+from roomsight.llm.common import byte_words
 
 
 def test_gradient(monkeypatch):
@@ -31,6 +33,29 @@ def test_gradient(monkeypatch):
             assert grad[i] == pytest.approx((up - down) / 2e-5, abs=2e-5)
 
 
+def test_powers():
+    z = np.concatenate([np.linspace(-87, 87, 20_001), np.arange(-87, 88, 0.5), [0.0, -0.0]])
+    got = S._powers(z.astype(np.float32))
+    assert np.abs(got / np.exp2(z.astype(np.float32).astype(float)) - 1).max() < 5e-6
+    assert S._powers(z.copy()).tolist() == np.exp2(z).tolist()
+
+
+@pytest.mark.parametrize("scale", [0.5, 40.0])
+def test_stretches_do_not_change_results(monkeypatch, scale):
+    """Groups cut anywhere, logits within and beyond the bound."""
+    r = np.random.default_rng(6)
+    p = {k: (v + r.normal(0, scale, v.shape)).astype(np.float64) for k, v in S.start_parameters().items()}
+    codes = np.sort(r.integers(0, 5 * S.SUB, 300) ** 2 % S.CELLS).astype(np.uint16)
+    context = S.contexts(codes, np.array([120, 180]))
+    found = []
+    for piece in (7, 64, 1_000):
+        monkeypatch.setattr(S, "PIECE", piece)
+        trainer = S.Trainer(p)
+        trainer.step(context, codes)
+        found.append(np.concatenate([S.log_probabilities(p, context, codes), S._pack(trainer.p)]))
+    assert found[0] == pytest.approx(found[2], rel=1e-6, abs=1e-6) and found[1] == pytest.approx(found[2], rel=1e-6, abs=1e-6)
+
+
 def test_contexts_stay_within_a_text():
     got = S.contexts(np.array([5, 6, 7, 8], np.uint16), np.array([3, 0, 1]))
     p = S.PAD
@@ -69,6 +94,31 @@ def test_split_by_words(spark):
         assert share == pytest.approx(sum(s for _, s in want)) and others == [w for w in ws if w not in v.numbers]
 
 
+def test_words_of_a_slice():
+    texts = [None, "", " !", "Zz-9 zz", "é\x00x\ty", "a" * 70, "-", "b", None]
+    words, length = S.word_array([t and t.encode() for t in texts])
+    each = [byte_words(t and t.encode()) for t in texts]
+    assert words.to_pylist() == [w for ws in each for w in ws] and length.tolist() == [len(ws) for ws in each]
+    assert len(S.word_array([])[0]) == 0 and S.word_array([None])[1].tolist() == [0]
+
+
+def test_a_share_does_not_depend_on_the_texts_around(monkeypatch):
+    r = np.random.default_rng(2)
+    vocab = [f"w{i}".encode() for i in range(3_000)]
+    shares = r.normal(-5, 2, len(vocab) + 1)
+    v = S.Vocabulary(S.Numbers({w: i for i, w in enumerate(vocab)}), np.zeros(len(shares), np.int64), shares,
+                     r.normal(5, 2, S.CELLS))
+    texts = [b" ".join(vocab[i] if i < 3_000 else b"other%d" % i for i in r.integers(0, 3_100, n)) for n in (90, 0, 7, 200, 1)]
+    assert v.split(texts) == [v.split([t])[0] for t in texts]
+
+
+def test_slices_hold_every_row(monkeypatch):
+    monkeypatch.setattr(S, "SLICE", 10)
+    texts = [b"abc", None, b"x" * 25, b"", b"defg", b"hi", b"y" * 10, None]
+    parts = list(S.slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"]), 0))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts and len(parts) > 2
+
+
 def test_order_matters_after_training(spark):
     """Texts of a fixed pattern score better than the same words in another order."""
     r = np.random.default_rng(0)
