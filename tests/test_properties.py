@@ -230,6 +230,33 @@ def test_neighbours_equal_brute_force(spark, block):
             assert list(mine["neighbour"]) == list(best)
 
 
+@pytest.mark.parametrize("block", [10_000, 40])
+def test_neighbours_by_products_are_exact(spark, block):
+    """Far clusters, in which the differences lie beyond the digits of a product, and equal distances."""
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.integers(0, 4, (150, 3)), 1e7 + r.integers(0, 4, (150, 3)), r.normal(0, 1e-4, (100, 3))]).astype(float)
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "i long, y int, v array<double>")
+    got = neighbours.knn_within_class(df, df, "i", "y", "v", 5, block_rows=block).toPandas().sort_values(["i", "rank"])
+    for i, mine in got.groupby("i"):
+        d2 = ((x - x[i]) ** 2).sum(axis=1)
+        d2[i] = np.inf
+        best = np.lexsort((np.arange(len(x)), d2))[:5]
+        assert mine["neighbour"].tolist() == best.tolist() and mine["distance"].tolist() == np.sqrt(d2[best]).tolist()
+
+
+def test_a_distance_known_from_the_own_cell_saves_visits(spark):
+    x = np.random.default_rng(9).normal(0, 1, (3000, 4))
+    p = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "id long, cls int, vec array<double>")
+    pivots = neighbours._choose_pivots(p, K.SEED)
+    cells = neighbours._assign(p, pivots)
+    summary = neighbours._summarise(cells, 5)
+    far = ((x[:, None] - x[None]) ** 2).sum(2)
+    reach = np.sqrt(np.partition(far, 5, axis=1)[:, 5])  # as if the own cell held all that is near
+    known = cells.join(spark.createDataFrame(list(enumerate(reach.tolist())), "id long, reach double"), "id")
+    seen = [neighbours._visits(q, pivots, summary, 5).agg(F.sum(F.size("cells"))).first()[0] for q in (p, known)]
+    assert seen[1] < seen[0] / 2
+
+
 def test_neighbours_of_a_class_smaller_than_k(spark):
     _, df = points(spark, 30)
     got = neighbours.knn_within_class(df, df, "i", "y", "v", 5).toPandas()
