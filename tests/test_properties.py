@@ -244,6 +244,16 @@ def test_neighbours_by_products_are_exact(spark, block):
         assert mine["neighbour"].tolist() == best.tolist() and mine["distance"].tolist() == np.sqrt(d2[best]).tolist()
 
 
+def test_balancing_rows_that_come_twice(spark):
+    """A copy leaves itself out with its twin, so its list is shorter; draws beyond it make no row."""
+    x = np.random.default_rng(10).normal(0, 1, (20, 2))
+    one = [(i, 1, v.tolist()) for i, v in enumerate(x[:8])]
+    df = spark.createDataFrame([*one, *one, *[(i + 100, 0, x[i % 20].tolist()) for i in range(60)]],
+                               "i long, y int, v array<double>")
+    made = balance.synthetic_rows(df, "i", "y", "v").toPandas()
+    assert 0 < len(made) and set(made["y"]) == {1} and (made["base"] != made["neighbour"]).all()
+
+
 def test_a_distance_known_from_the_own_cell_saves_visits(spark):
     x = np.random.default_rng(9).normal(0, 1, (3000, 4))
     p = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "id long, cls int, vec array<double>")
